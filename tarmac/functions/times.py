@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 # digits and leading blanks, and text after the seconds is ignored.
 LENIENT_TIME = r"^[ \t]*([0-9]+):[ \t]*([0-9]+):[ \t]*([0-9]+)"
 USUAL_TIME = r"^[0-9]{2}:[0-9]{2}:[0-9]{2}(?![0-9])"
+USUAL_STARTS = (1, 4, 7)
 PART_SECONDS = (3600, 60, 1)
 
 
@@ -19,12 +20,11 @@ def seconds_of_day(text: Column) -> Column:
     spelling costs one pattern test and three substrings; only other spellings pay for
     three pattern extractions.
     """
-    usual = [F.substring(text, start, 2) for start in (1, 4, 7)]
-    lenient = [F.regexp_extract(text, LENIENT_TIME, part) for part in (1, 2, 3)]
-    return F.when(text.rlike(USUAL_TIME), _total_seconds(usual)).otherwise(_total_seconds(lenient))
-
-
-def _total_seconds(parts: list[Column]) -> Column:
+    usual = text.rlike(USUAL_TIME)
+    parts = [
+        F.when(usual, F.substring(text, start, 2)).otherwise(F.regexp_extract(text, LENIENT_TIME, group))
+        for group, start in enumerate(USUAL_STARTS, 1)
+    ]
     hours, minutes, seconds = (p.try_cast("bigint") * s for p, s in zip(parts, PART_SECONDS))
     return hours + minutes + seconds
 

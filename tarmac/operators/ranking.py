@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def top_n(counts: DataFrame, count: str, name: str, n: int) -> DataFrame:
-    """The ``n`` rows with the highest count; equal counts by name. Each task keeps ``n`` rows."""
-    return counts.orderBy(F.desc(count), F.asc(name)).limit(n)
+def top_n(counts: DataFrame, count: str, names: list[str], n: int) -> DataFrame:
+    """The ``n`` rows with the highest count; equal counts by names. Each task keeps ``n`` rows."""
+    return counts.orderBy(F.desc(count), *names).limit(n)
 
 
 def top_n_per_group(counts: DataFrame, group: str, count: str, name: str, n: int) -> DataFrame:
-    """As :func:`top_n` for each group, with the ``rank`` from 1. At most ``n`` rows of a group
+    """The same for each group, with the ``rank`` from 1. At most ``n`` rows of a group
     leave a task, so a group of any size is ranked without gathering it."""
     best_first = Window.partitionBy(group).orderBy(F.desc(count), F.asc(name))
     ranked = counts.withColumn("rank", F.row_number().over(best_first).cast("bigint"))

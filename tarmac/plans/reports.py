@@ -38,7 +38,7 @@ def top_models(
 ) -> DataFrame:
     """The ``n`` models of one manufacturer with the most flights: ``model, flights``."""
     counts = flights_per_model(flights, aircrafts, manufacturer, label, limit)
-    return ranking.top_n(counts, "flights", "model", n)
+    return ranking.top_n(counts, "flights", ["model"], n)
 
 
 def departure_delay(

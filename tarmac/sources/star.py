@@ -25,8 +25,9 @@ class Star:
 
 
 def _clock(seconds: str) -> str:
-    parts = [f"({seconds}) div 3600", f"(({seconds}) div 60) % 60", f"({seconds}) % 60"]
-    return "concat_ws(':', " + ", ".join(f"lpad(cast({p} as string), 2, '0')" for p in parts) + ")"
+    """``HH:mm:ss`` text of a number of seconds under a day, in any session time zone."""
+    moment = f"timestampadd(second, {seconds}, timestamp_ntz'1970-01-01 00:00:00')"
+    return f"substring(cast({moment} as string), 12, 8)"
 
 
 def read_star(spark: SparkSession, folder: str) -> Star:
@@ -37,7 +38,7 @@ def read_star(spark: SparkSession, folder: str) -> Star:
 
     flights = table("lineitem").select(
         F.expr("concat('S', cast(l_suppkey as string))").alias("carrier_code"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("flight_date"),
+        F.col("l_shipdate").cast("date").cast("string").alias("flight_date"),
         F.expr("concat('N', cast(l_partkey as string))").alias("tail_number"),
         F.expr(_clock(f"({TIME_OF_DAY}) % 86400")).alias("scheduled_departure"),
         F.expr(
