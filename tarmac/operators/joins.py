@@ -10,9 +10,10 @@ or, where only totals are wanted, after adding them up (:mod:`tarmac.operators.r
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.functions import aircraft_type
@@ -20,12 +21,14 @@ from tarmac.functions import aircraft_type
 # Memory of a broadcast row beyond its text: row header, and a word per column.
 ROW_BYTES = 32
 COLUMN_BYTES = 16
+UNIT_SHIFT = {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}
 
 
-def broadcast_limit(spark) -> int:
+def broadcast_limit(spark: SparkSession) -> int:
     """The session's automatic broadcast limit in bytes, negative if broadcasting is off."""
-    jvm = spark._jvm.org.apache.spark.network.util.JavaUtils
-    return jvm.byteStringAsBytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    setting = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgt]?)i?b?", setting).groups()
+    return int(number) << UNIT_SHIFT[unit]
 
 
 def fit_broadcast(dimensions: list[DataFrame], limit: int | None = None) -> list[bool]:
