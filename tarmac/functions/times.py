@@ -47,4 +47,5 @@ def delay_minutes(scheduled: Column, actual: Column, minutes: str = "of_hour") -
         whole = whole % 60
     elif minutes != "total":
         raise ValueError(f"minutes must be 'of_hour' or 'total', not {minutes!r}")
-    return F.when(whole > 0, whole)
+    # Not `when(whole > 0, whole)`, which would work out the times twice.
+    return F.nullif(F.greatest(whole, F.lit(0)), F.lit(0))

@@ -75,10 +75,15 @@ def with_airline(flights: DataFrame, airlines: DataFrame, limit: int | None = No
 def with_dimension(
     flights: DataFrame, dimension: DataFrame, key: str, how: str = "inner", limit: int | None = None
 ) -> DataFrame:
-    """Join row by row: broadcast if the dimension is measured to fit, else with hot keys spread."""
+    """Join row by row: broadcast if the dimension is measured to fit, else with hot keys spread.
+
+    The columns of the flights come first, as they were.
+    """
     if fit_broadcast([dimension], limit)[0]:
-        return flights.join(F.broadcast(dimension), key, how)
-    return spread_join(flights, dimension, key, how)
+        joined = flights.join(F.broadcast(dimension), key, how)
+    else:
+        joined = spread_join(flights, dimension, key, how)
+    return joined.select(*flights.columns, *[c for c in joined.columns if c not in flights.columns])
 
 
 def spread_join(flights: DataFrame, dimension: DataFrame, key: str, how: str = "inner") -> DataFrame:
