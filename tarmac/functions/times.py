@@ -25,7 +25,8 @@ def seconds_of_day(text: Column) -> Column:
         F.when(usual, F.substring(text, start, 2)).otherwise(F.regexp_extract(text, LENIENT_TIME, group))
         for group, start in enumerate(USUAL_STARTS, 1)
     ]
-    hours, minutes, seconds = (p.try_cast("bigint") * s for p, s in zip(parts, PART_SECONDS))
+    # Parts beyond int are unreadable, so that the product cannot overflow.
+    hours, minutes, seconds = (p.try_cast("int").cast("bigint") * s for p, s in zip(parts, PART_SECONDS))
     return hours + minutes + seconds
 
 

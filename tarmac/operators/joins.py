@@ -46,9 +46,9 @@ def fit_broadcast(dimensions: list[DataFrame], limit: int | None = None) -> list
 
 
 def _measured(dimension: DataFrame, i: int) -> DataFrame:
-    lengths = [F.coalesce(F.octet_length(c), F.lit(0)) + COLUMN_BYTES for c in dimension.columns]
-    size = F.coalesce(F.sum(reduce(lambda a, b: a + b, lengths, F.lit(ROW_BYTES)).cast("bigint")), F.lit(0))
-    return dimension.agg(size.alias("bytes")).select(F.lit(i).alias("i"), "bytes")
+    lengths = [f"coalesce(octet_length(`{c}`), 0) + {COLUMN_BYTES}" for c in dimension.columns]
+    row_bytes = f"cast({ROW_BYTES} + {' + '.join(lengths)} as bigint)"
+    return dimension.selectExpr(f"{i} as i", f"coalesce(sum({row_bytes}), 0) as bytes")
 
 
 def with_aircraft(

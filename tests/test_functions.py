@@ -1,3 +1,6 @@
+import random
+
+import brute_force
 import pytest
 from pyspark.sql import functions as F
 
@@ -23,6 +26,10 @@ def test_seconds_of_day(spark):
         " 12:34:56": 45296,
         "12: 34:\t56": 45296,
         "012:34:56": 45296,
+        "100:00:00": 360000,
+        "2147483647:59:59": 2147483647 * 3600 + 3599,
+        "2147483648:00:00": None,
+        "99999999999999999999:00:00": None,
         "12:34": None,
         "12:34:": None,
         "12 :34:56": None,
@@ -35,6 +42,18 @@ def test_seconds_of_day(spark):
     assert values(spark, expected, seconds_of_day) == list(expected.values())
 
 
+def test_seconds_of_random_texts(spark):
+    pick = random.Random(7)
+    usual = [f"{pick.randrange(100):02}:{pick.randrange(100):02}:{pick.randrange(100):02}" for _ in range(1000)]
+    changed = []
+    for text in usual:
+        at = pick.randrange(len(text) + 1)
+        changed.append(text[:at] + pick.choice(["", " ", "\t", ":", "0", "77", "x", "-"]) + text[at + pick.randrange(2) :])
+    noise = ["".join(pick.choices("0123: \tx\n", k=pick.randrange(12))) for _ in range(1000)]
+    texts = usual + changed + noise
+    assert values(spark, texts, seconds_of_day) == [brute_force.seconds(t) for t in texts]
+
+
 @pytest.mark.parametrize(
     "scheduled, actual, of_hour, total",
     [

@@ -6,6 +6,7 @@ import brute_force
 from benchmarks import naive_forms
 from helpers import aircrafts, airlines, flights, physical, tuples
 from tarmac import catalog, departure_delay, popular_types, top_models
+from tarmac.operators.joins import fit_broadcast
 from tarmac.plans import type_counts
 from tarmac.sources import read_star
 
@@ -54,6 +55,12 @@ def messy(request, spark):
     return rows, frames
 
 
+def test_limits_mix_the_joins(messy):
+    _, (_, a, c) = messy
+    dimensions = [c.select("carrier_code", "name"), a.select("tail_number", "manufacturer")]
+    assert [fit_broadcast(dimensions, limit) for limit in LIMITS] == [[True, True], [False, False], [True, False]]
+
+
 @pytest.mark.parametrize("limit", LIMITS)
 def test_top_models_by_brute_force(messy, limit):
     (f, a, _), (df, da, _) = messy
