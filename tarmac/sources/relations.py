@@ -38,18 +38,22 @@ def read_relation(
         .csv(path)
     )
     if quoted:
-        outside_quotes = F.regexp_replace("line", '"[^"]*"', "")
-        field_count = F.size(F.split(outside_quotes, ",", -1))
-        parsed = F.from_csv("line", ", ".join(f"_{i} string" for i in range(last + 1)))
-        fields = {name: F.coalesce(parsed[f"_{i}"], F.lit("")) for name, i in wanted.items()}
+        complete = _has_commas(F.regexp_replace("line", '"[^"]*"', ""), last)
+        fields = F.from_csv("line", ", ".join(f"_{i} string" for i in range(last + 1)))
+        picked = [F.coalesce(F.col(f"fields._{i}"), F.lit("")).alias(name) for name, i in wanted.items()]
     else:
-        field_count = F.size(_split())
-        fields = {name: F.get(_split(), F.lit(i)) for name, i in wanted.items()}
-    return lines.where(field_count > last).select(*[c.alias(name) for name, c in fields.items()])
+        complete = _has_commas(F.col("line"), last)
+        fields = F.split("line", ",", -1)
+        picked = [F.get("fields", F.lit(i)).alias(name) for name, i in wanted.items()]
+    return lines.where(complete).select(fields.alias("fields")).select(*picked)
 
 
-def _split() -> Column:
-    return F.split("line", ",", -1)
+def _has_commas(text: Column, n: int) -> Column:
+    """Whether there are at least ``n`` commas, without splitting the text.
+
+    ``substring_index`` cuts before the n-th comma, and returns the whole text if there is none.
+    """
+    return F.substring_index(text, ",", n) != text if n else F.lit(True)
 
 
 def read_parquet(
