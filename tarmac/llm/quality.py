@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import WHITE_SPACE, packed, small_join, stored
+from tarmac.llm.common import packed, small_join, stored, word_array
 
 # Fixed values of the base rules.
 SYMBOLS = "#*$%&|<>"
@@ -27,55 +27,64 @@ LEAST_WORDS = 10
 MOST_REPEATED_PERCENT = 20
 
 # The adaptive rules: each metric is a share in thousandths.
-METRICS = ("symbols", "dup_lines")
-FLOOR = {"symbols": 100, "dup_lines": 400}
+METRICS = {"symbols": ("n_symbols", "n_chars"), "dup_lines": ("n_dup_lines", "n_lines")}
+FLOOR = {"symbols": 20, "dup_lines": 400}
 SPREAD = 3
 MIN_GROUP = 500
 
 
-def with_features(docs: DataFrame, text: str = "text", repeats: bool = True) -> DataFrame:
+def with_features(docs: DataFrame, text: str = "text", words: bool = True) -> DataFrame:
     """``row`` (all columns of the documents) and the features of each text.
 
-    ``repeats=False`` leaves ``n_repeat_words`` out, which takes most of the time.
+    ``words=False`` leaves out what needs words, which takes most of the time.
     """
     rows = docs.select(packed(docs))
     t = F.coalesce(F.col(f"row.`{text}`"), F.lit(""))
+    symbols = F.length(t) - F.length(F.translate(t, SYMBOLS, ""))
     rows = rows.withColumns(
         {
-            "words": F.filter(F.split(t, WHITE_SPACE), lambda w: w != ""),
             "lines": F.filter(F.split(t, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")),
-            "n_symbols": (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long"),
-            "word_chars": F.length(F.regexp_replace(t, WHITE_SPACE, "")).cast("long"),
+            "n_symbols": F.when(t.rlike(r"[#*$%&|<>]"), symbols).otherwise(0).cast("long"),
+            "n_chars": F.length(t).cast("long"),
         }
     )
     rows = rows.withColumns(
         {
-            "n_words": F.size("words").cast("long"),
             "n_lines": F.size("lines").cast("long"),
             "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
         }
     )
-    if repeats:
-        rows = _with_repeats(rows)
-    share = F.expr("case when {0} > 0 then {1} * 1000 div {0} else 0L end".format("n_words", "n_symbols"))
-    dup_share = F.expr("case when {0} > 0 then {1} * 1000 div {0} else 0L end".format("n_lines", "n_dup_lines"))
-    return rows.withColumns({"symbols": share, "dup_lines": dup_share}).drop("words", "lines")
+    rows = rows.withColumns({m: _thousandths(*parts) for m, parts in METRICS.items()})
+    return (_with_words(rows, t) if words else rows).drop("lines")
+
 
+def _thousandths(part: str, whole: str) -> Column:
+    return F.expr(f"case when {whole} > 0 then {part} * 1000 div {whole} else 0L end")
 
-def _with_repeats(rows: DataFrame) -> DataFrame:
-    """``n_repeat_words``: words inside windows of five words that occur twice or more in the text.
+
+def _with_words(rows: DataFrame, t: Column) -> DataFrame:
+    """``n_words``, ``word_chars``, and ``n_repeat_words``: words inside windows of five words
+    that occur twice or more in the text.
 
     Most texts repeat no window and are done after one look for equal hashes. In the others
     the hashes are sorted with their places, so that the time is near linear for any text.
     """
+    rows = rows.withColumn("words", word_array(t))
+    rows = rows.withColumns(
+        {
+            "n_words": F.size("words").cast("long"),
+            "word_chars": F.length(F.array_join("words", "")).cast("long"),
+            "codes": F.expr("transform(words, w -> xxhash64(w))"),
+        }
+    )
+    # The last windows run out of the text and are cut off.
     hashes = F.expr(
-        f"""case when n_words < {WINDOW} then cast(array() as array<bigint>)
-            else transform(sequence(0, cast(n_words as int) - {WINDOW}),
-                           i -> xxhash64({', '.join(f'get(words, i + {k})' for k in range(WINDOW))})) end"""
+        f"""slice(transform(codes, (c, i) -> xxhash64(c, {', '.join(f'get(codes, i + {k})' for k in range(1, WINDOW))})),
+                  1, greatest(size(codes) - {WINDOW - 1}, 0))"""
     )
     placed = F.expr(
         """case when size(array_distinct(hashes)) < size(hashes)
-                then array_sort(transform(hashes, (h, i) -> struct(h, i))) end"""
+                then sort_array(transform(hashes, (h, i) -> struct(h, i))) end"""
     )
     repeated = F.expr(
         """case when placed is not null then sort_array(transform(
@@ -90,7 +99,7 @@ def _with_repeats(rows: DataFrame) -> DataFrame:
                (n, k) -> n + least({WINDOW}, coalesce(get(repeated, k + 1) - get(repeated, k), {WINDOW}))) end"""
     )
     rows = rows.withColumn("hashes", hashes).withColumn("placed", placed).withColumn("repeated", repeated)
-    return rows.withColumn("n_repeat_words", covered).drop("hashes", "placed", "repeated")
+    return rows.withColumn("n_repeat_words", covered).drop("hashes", "placed", "repeated", "words", "codes")
 
 
 def bucket(value: Column) -> Column:
@@ -111,8 +120,7 @@ def sketches(features: DataFrame, lang: str = "lang", source: str = "source") ->
     """One row per language, source, metric and bucket, with the number ``n`` of documents."""
     metrics = F.array(*[F.struct(F.lit(m).alias("metric"), bucket(F.col(m)).alias("bucket")) for m in METRICS])
     return (
-        features.where(F.col("n_words") >= LEAST_WORDS)
-        .select(_key(lang).alias("lang_key"), _key(source).alias("source_key"), F.explode(metrics).alias("m"))
+        features.select(_key(lang).alias("lang_key"), _key(source).alias("source_key"), F.explode(metrics).alias("m"))
         .groupBy("lang_key", "source_key", "m.metric", "m.bucket")
         .agg(F.count("*").alias("n"))
     )
@@ -141,7 +149,7 @@ def merged(parts: DataFrame, keys: list[str]) -> DataFrame:
 
 def cutoffs(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """Cutoffs per language and source: ``lang_key``, ``source_key`` and ``most_<metric>``."""
-    parts = stored(sketches(with_features(docs, text, repeats=False), lang, source))
+    parts = stored(sketches(with_features(docs, text, words=False), lang, source))
     own = merged(parts, ["lang_key", "source_key"])
     wide = merged(parts, ["lang_key"]).withColumnRenamed("fence", "wide").drop("total")
     chosen = F.when(F.col("total") >= MIN_GROUP, F.col("fence")).otherwise(F.col("wide"))

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import quality
+from tarmac.llm import mixing, pii, quality, sharding
+
+# Fixed value: the number of shards.
+SHARDS = 24
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +19,36 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
+    rows = pii.detected(table(spark, folder, "documents").select("doc_id", "text"))
+    base = pii.written(F.col("base"))
+    added = pii.written(F.col("added"))
+    return rows.select(
+        "row.doc_id",
+        *[F.size(kind).cast("long").alias(f"n_{kind}") for kind in pii.BASE],
+        F.sha2(base, 256).alias("base_sha256"),
+        F.concat_ws(",", *[F.when(part != "", part) for part in (base, added)]).alias("spans"),
+    )
+
+
+def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    text = F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8")
+    digests = table(spark, folder, "documents").select(
+        "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32")
+    )
+    rows = sharding.sharded(digests, ["doc_id"], SHARDS, seed=17)
+    return rows.select(
+        "row.*", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    rows = mixing.accounted(docs, F.array("source"), seed=11)
+    taken = (F.col("size") * F.col("repeats")).alias("taken")
+    return rows.select("row.doc_id", "size", "source_size", "target", taken)
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     rows = quality.judged(table(spark, folder, "documents"))
     return rows.select(
@@ -24,4 +57,4 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op10_quality_rules,)}
+    return {f.__name__: f for f in (op4_pii, op5_sharding, op7_mixing, op10_quality_rules)}
