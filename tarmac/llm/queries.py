@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import mixing, pii, quality, sharding
+from tarmac.llm import mixing, pieces, pii, quality, sharding
 
 # Fixed value: the number of shards.
 SHARDS = 24
@@ -19,6 +19,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    rows = pieces.round_trip_digests(table(spark, folder, "documents").select("doc_id", "text"), tokenizer_path())
+    return rows.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
     rows = pii.detected(table(spark, folder, "documents").select("doc_id", "text"))
     base = pii.written(F.col("base"))
@@ -57,4 +68,4 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_pii, op5_sharding, op7_mixing, op10_quality_rules)}
+    return {f.__name__: f for f in (op3_sentencepiece, op4_pii, op5_sharding, op7_mixing, op10_quality_rules)}
