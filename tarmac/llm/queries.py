@@ -69,3 +69,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op3_sentencepiece, op4_pii, op5_sharding, op7_mixing, op10_quality_rules)}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
