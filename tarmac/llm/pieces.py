@@ -11,7 +11,7 @@ same unless a merge makes a pair of no higher rank. Segments where that happens
 encoded again one merge a round.
 
 Unknown characters become their UTF-8 bytes. Decoding is the library's own ``decode``.
-The model travels as a broadcast of fixed size (the vocabulary), so executors need no file.
+The tables of the model, of fixed size, travel with the job, so executors need no file.
 
 Nulls: a null text is empty and has no ids. Texts are encoded whole whatever their length;
 memory follows the longest text and ``CHUNK`` characters. Equal texts give equal ids. An
@@ -26,13 +26,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import sha256
 from itertools import chain
-from operator import itemgetter
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -202,7 +200,8 @@ def encode_words(v: Vocabulary, words: list[str]) -> list[tuple[int, ...]]:
         order = np.argsort(places, kind="stable")
         places, symbols = places[order], symbols[order]
     bounds = np.searchsorted(places, word_starts).tolist()
-    ids = symbols.tolist()
+    # One object for each id, not one for each time it is used.
+    ids = list(map(list(range(v.n_symbols)).__getitem__, symbols.tolist()))
     result = []
     odd = (symbols < 0) | (symbols >= v.n_pieces)
     odd_words = set(np.searchsorted(word_starts, places[odd], side="right") - 1)
@@ -226,25 +225,20 @@ class Encoder:
 
     def __init__(self, v: Vocabulary):
         self.v = v
-        self.known: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
 
-    def words(self, texts: list[str]) -> Iterator[list[tuple[tuple[int, ...], str]]]:
-        """For each text its words as ids and as decimal text."""
+    def encode(self, texts: list[str]) -> Iterator[list[int]]:
         cut = [WORD.findall(" " + t.replace(BLANK, " ")) if t else [] for t in texts]
         known, distinct = self.known, set()
         for words in cut:
             distinct.update(words)
         new = list(distinct.difference(known))
-        for word, ids in zip(new, encode_words(self.v, new)):
-            known[word] = (ids, ",".join(map(str, ids)))
+        known.update(zip(new, encode_words(self.v, new)))
         for words in cut:
-            yield list(map(known.__getitem__, words))
+            yield list(chain.from_iterable(map(known.__getitem__, words)))
         for word in new[max(0, CACHED_WORDS - len(known) + len(new)) :]:
             del known[word]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [list(chain.from_iterable(map(itemgetter(0), words))) for words in self.words(texts)]
-
 
 def chunks(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
     """Texts in turn, about ``CHUNK`` characters at a time, with the place of the first."""
@@ -258,16 +252,16 @@ def chunks(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
 
 def encoded(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
     """``row`` (all columns) and the ``ids`` of each text."""
-    shared: Broadcast = docs.sparkSession.sparkContext.broadcast(load_vocabulary(model_path))
+    vocabulary = load_vocabulary(model_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Millions of tuples that refer to nothing: looking for cycles among them takes a third of the time.
         gc.disable()
-        encoder = Encoder(shared.value)
+        encoder = Encoder(vocabulary)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for start, part in chunks(texts):
-                ids = pa.array(encoder.encode(part), pa.list_(pa.int32()))
+                ids = pa.array(list(encoder.encode(part)), pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([batch.column("row").slice(start, len(part)), ids], ["row", "ids"])
 
     rows = docs.select(packed(docs), column(text).alias("text"))
@@ -276,10 +270,10 @@ def encoded(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
 
 def decoded(rows: DataFrame, model_path: str) -> DataFrame:
     """``row`` and the ``text`` that the library decodes from ``ids``."""
-    shared: Broadcast = rows.sparkSession.sparkContext.broadcast(Path(model_path).read_bytes())
+    model = Path(model_path).read_bytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sp = sentencepiece.SentencePieceProcessor(model_proto=shared.value)
+        sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         for batch in batches:
             texts = [sp.decode(ids) if ids else "" for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", "text"])
@@ -292,20 +286,20 @@ def round_trip_digests(docs: DataFrame, model_path: str, text: str = "text") ->
 
     The same as :func:`encoded`, then :func:`decoded`, without moving the ids between tasks' processes.
     """
-    shared: Broadcast = docs.sparkSession.sparkContext.broadcast(load_vocabulary(model_path))
+    vocabulary = load_vocabulary(model_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Millions of tuples that refer to nothing: looking for cycles among them takes a third of the time.
         gc.disable()
-        encoder = Encoder(shared.value)
-        sp = sentencepiece.SentencePieceProcessor(model_proto=shared.value.model)
+        encoder = Encoder(vocabulary)
+        sp = sentencepiece.SentencePieceProcessor(model_proto=vocabulary.model)
+        decimal = list(map(str, range(vocabulary.n_pieces)))
         for batch in batches:
             for start, part in chunks(batch.column("text").to_pylist()):
                 sizes, id_digests, text_digests = [], [], []
-                for words in encoder.words(part):
-                    ids = list(chain.from_iterable(map(itemgetter(0), words)))
+                for ids in encoder.encode(part):
                     sizes.append(len(ids))
-                    id_digests.append(sha256(",".join(map(itemgetter(1), words)).encode()).hexdigest())
+                    id_digests.append(sha256(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
                     text_digests.append(sha256(sp.decode(ids).encode() if ids else b"").hexdigest())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("row").slice(start, len(part)), pa.array(sizes, pa.int64()),
