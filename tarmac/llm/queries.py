@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import mixing, pieces, pii, quality, sharding
+from tarmac.llm import lines, mixing, passages, pieces, pii, quality, sharding
 
 # Fixed value: the number of shards.
 SHARDS = 24
@@ -60,6 +60,16 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("row.doc_id", "size", "source_size", "target", taken)
 
 
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    return lines.cleaned(docs).select("row.doc_id", F.col("clean").alias("text"), "n_removed")
+
+
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return passages.deduplicated(docs).select("row.doc_id", F.col("clean").alias("text"), "removed", "n_removed")
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     rows = quality.judged(table(spark, folder, "documents"))
     return rows.select(
@@ -68,7 +78,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_sentencepiece, op4_pii, op5_sharding, op7_mixing, op10_quality_rules)}
+    return {f.__name__: f for f in (op3_sentencepiece, op4_pii, op5_sharding, op7_mixing, op8_line_dedup, op9_substring_dedup, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
