@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import lines, mixing, passages, pieces, pii, quality, sharding
+from tarmac.llm import lines, mixing, ngrams, passages, pieces, pii, quality, sharding
 
 # Fixed value: the number of shards.
 SHARDS = 24
@@ -53,6 +53,11 @@ def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    rows = ngrams.linked(table(spark, folder, "documents").select("doc_id", "text"))
+    return rows.withColumnRenamed("id", "doc_id")
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     rows = mixing.accounted(docs, F.array("source"), seed=11)
@@ -78,7 +83,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_sentencepiece, op4_pii, op5_sharding, op7_mixing, op8_line_dedup, op9_substring_dedup, op10_quality_rules)}
+    return {f.__name__: f for f in (op3_sentencepiece, op4_pii, op5_sharding, op6_ngram_jaccard_join, op7_mixing, op8_line_dedup, op9_substring_dedup, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
