@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import lines, mixing, ngrams, passages, pieces, pii, quality, sharding
+from tarmac.llm import lines, mixing, ngrams, pages, passages, pieces, pii, quality, sharding
 
 # Fixed value: the number of shards.
 SHARDS = 24
@@ -25,6 +25,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    rows = pages.extracted(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return rows.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     rows = pieces.round_trip_digests(table(spark, folder, "documents").select("doc_id", "text"), tokenizer_path())
     return rows.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
@@ -83,7 +88,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_sentencepiece, op4_pii, op5_sharding, op6_ngram_jaccard_join, op7_mixing, op8_line_dedup, op9_substring_dedup, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_html_extraction, op3_sentencepiece, op4_pii, op5_sharding, op6_ngram_jaccard_join, op7_mixing, op8_line_dedup, op9_substring_dedup, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
