@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import mixing, pieces, quality
+from tarmac.llm import lines, mixing, ngrams, pieces, quality
 from tarmac.llm.common import stored
 from tarmac.llm.queries import table, tokenizer_path
 
@@ -21,6 +21,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that are spread over many sources go from the texts."""
+    return lines.without_boilerplate(docs)
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return ngrams.one_of_each(docs)
+
+
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are taken as often as the target weights of their sources ask for."""
     return mixing.mixed(docs, F.array("source"), seed=11)
@@ -36,11 +46,13 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("n-gram Jaccard join", ngram_jaccard_join),
     ("mixing sources to target weights", mixing_sources),
     ("SentencePiece encoding and decoding", sentencepiece_encoding),
 ]
 
-#: The labels of the mix and the tokens are not SQL; the tests compare with a brute-force version.
+#: Pruned joins, the mix and the tokens are not SQL; the tests compare with a brute-force version.
 ORACLE_SQL = None
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,3 +46,24 @@ def word_array(text: Column) -> Column:
     spaced = F.replace(t, F.lit("\n"), F.lit(" "))
     spaced = F.when(t.rlike(r"[\x09\x0B-\x0D]"), F.translate(spaced, "\t\x0b\x0c\r", "    ")).otherwise(spaced)
     return F.array_remove(F.split(spaced, " "), "")
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables of rows with equal keys, from batches in which such rows stand together."""
+    held: list[pa.RecordBatch] = []
+    last: tuple | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        change = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+        bounds = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        for a, b in zip(bounds, bounds[1:]):
+            name = tuple(c[a] for c in columns)
+            if held and name != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = name
+    if held:
+        yield pa.Table.from_batches(held)

@@ -13,8 +13,8 @@ of its links and one link to the smallest member it is connected with. Buckets o
 size are cut into blocks of about ``BLOCK`` members, and each pair of blocks is a task of its own.
 
 Nulls: a null text or id has no words and links with nothing. A text of one to four words is
-one shingle. Texts are compared whole. Rows of equal words and different ids are links. Rows that
-repeat an id are one document. An empty table gives an empty result.
+one shingle. Texts are compared whole. Rows of equal words and different ids are links. Of rows
+that repeat an id the first text in order counts. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import column, packed, stored
+from tarmac.llm.common import column, groups, packed, stored
 from tarmac.llm.components import components
 from tarmac.llm.shingles import chunks, min_hashes, shingles
 
@@ -98,8 +98,9 @@ def linked(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFr
     reps = signed.join(classes, (signed["code"] == classes["code"]) & (signed["id"] == classes["rep"])).select(
         "id", "copies", "keys", "values"
     )
-    work = candidates(stored(reps.dropDuplicates(["id"])))
-    pairs = stored(compared(work.join(rows.dropDuplicates(["id"]), "id")))
+    work = candidates(stored(reps.dropDuplicates(["id", "code"])))
+    texts = rows.groupBy("id").agg(F.min("text").alias("text"))
+    pairs = stored(compared(work.join(texts, "id")))
     degrees = pairs.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     roots = components(pairs.select("a", "b")).select(F.col("node").alias("rep"), "component")
     found = members.join(degrees, "rep", "left").join(roots, "rep", "left").select(
@@ -155,27 +156,6 @@ def compared(work: DataFrame) -> DataFrame:
     return placed.mapInArrow(run, "a long, b long, links long")
 
 
-def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Tables of rows with equal keys, from batches in which such rows stand together."""
-    held: list[pa.RecordBatch] = []
-    last: tuple | None = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
-        change = np.any([c[1:] != c[:-1] for c in columns], axis=0)
-        bounds = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
-        for a, b in zip(bounds, bounds[1:]):
-            name = tuple(c[a] for c in columns)
-            if held and name != last:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(a, b - a))
-            last = name
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def bucket_links(group: pa.Table, least: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
     """Links among the members of a block, or between those of two blocks."""
     m = group.num_rows
@@ -254,3 +234,14 @@ def runs_of_equal(a: np.ndarray, sizes: np.ndarray, most: int = 4_000_000) -> It
             end = start + max(1, int(np.searchsorted(upto, most, side="right")))
             yield start, end
             start = end
+
+
+def one_of_each(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents with the smallest id of their class, and those without an id, with their own columns.
+
+    Of rows that repeat an id the first in order stays.
+    """
+    kept = linked(docs, ident, text).where("id = class_id").select("id")
+    rows = docs.select(packed(docs), column(ident).cast("long").alias("id"))
+    first = rows.join(kept, "id").groupBy("id").agg(F.min("row").alias("row"))
+    return first.select("row.*").unionByName(rows.where("id is null").select("row.*"))

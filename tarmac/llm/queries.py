@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import lines, mixing, ngrams, pages, passages, pieces, pii, quality, sharding
+from tarmac.llm import lines, mixing, ngrams, pages, passages, pieces, pii, quality, sharding, vectors
 
 # Fixed value: the number of shards.
 SHARDS = 24
+# Fixed value: the least cosine of linked vectors.
+LEAST_COSINE = 0.93
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +21,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = vectors.linked(table(spark, folder, "embeddings"), LEAST_COSINE)
+    return rows.select(
+        F.col("id").alias("vec_id"), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept")
+    )
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -88,7 +97,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_html_extraction, op3_sentencepiece, op4_pii, op5_sharding, op6_ngram_jaccard_join, op7_mixing, op8_line_dedup, op9_substring_dedup, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_html_extraction, op2_embedding_near_dedup, op3_sentencepiece, op4_pii, op5_sharding, op6_ngram_jaccard_join, op7_mixing, op8_line_dedup, op9_substring_dedup, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
