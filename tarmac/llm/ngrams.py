@@ -13,8 +13,8 @@ of its links and one link to the smallest member it is connected with. Buckets o
 size are cut into blocks of about ``BLOCK`` members, and each pair of blocks is a task of its own.
 
 Nulls: a null text or id has no words and links with nothing. A text of one to four words is
-one shingle. Texts are compared whole. Rows of equal words and different ids are links. Of rows
-that repeat an id the first text in order counts. An empty table gives an empty result.
+one shingle. Texts are compared whole. Rows of equal words and different ids are links. Rows that repeat
+an id are one document; if their texts differ, it is found by one of them and compared by the first in order. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -92,13 +92,14 @@ def least_matches() -> list[int]:
 def linked(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
     """``id``, ``class_id`` (smallest id connected by links) and ``n_links`` of all documents with an id."""
     rows = docs.select(column(ident).cast("long").alias("id"), column(text).alias("text")).where("id is not null")
-    signed = stored(signatures(rows))
-    classes = stored(signed.groupBy("code").agg(F.min("id").alias("rep"), F.count_distinct("id").alias("copies")))
-    members = stored(signed.select("id", "code").distinct().join(classes, "code").select("id", "rep", "copies"))
+    signed = signatures(rows).groupBy("id").agg(F.min(F.struct("code", "keys", "values")).alias("s")).select("id", "s.*")
+    signed = stored(signed)
+    classes = stored(signed.groupBy("code").agg(F.min("id").alias("rep"), F.count("*").alias("copies")))
+    members = stored(signed.select("id", "code").join(classes, "code").select("id", "rep", "copies"))
     reps = signed.join(classes, (signed["code"] == classes["code"]) & (signed["id"] == classes["rep"])).select(
         "id", "copies", "keys", "values"
     )
-    work = candidates(stored(reps.dropDuplicates(["id", "code"])))
+    work = candidates(stored(reps))
     texts = rows.groupBy("id").agg(F.min("text").alias("text"))
     pairs = stored(compared(work.join(texts, "id")))
     degrees = pairs.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
