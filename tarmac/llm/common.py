@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,3 +68,14 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Ta
             last = name
     if held:
         yield pa.Table.from_batches(held)
+
+
+def text_chunks(texts: pa.Array, size: int) -> Iterator[tuple[int, list[str]]]:
+    """Texts of a batch in turn, about ``size`` bytes at a time, with the place of the first; null is empty."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        before = upto[start - 1] if start else 0
+        stop = min(len(texts), int(np.searchsorted(upto, before + size)) + 1)
+        yield start, [t or "" for t in texts.slice(start, stop - start).to_pylist()]
+        start = stop

@@ -27,9 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import column, groups, packed, stored
+from tarmac.llm.common import column, groups, packed, stored, text_chunks
 from tarmac.llm.components import components
-from tarmac.llm.shingles import chunks, min_hashes, shingles
+from tarmac.llm.shingles import min_hashes, shingles
 
 BANDS = 32
 BAND_ROWS = 4
@@ -37,6 +37,8 @@ VALUES = BANDS * BAND_ROWS
 STEP = 16
 TOLERANCE = 1e-9
 BLOCK = 1000
+#: Bytes of text whose shingles are hashed at once; few enough to stay in the processor's cache.
+CHUNK = 400_000
 #: The threshold as a fraction: 4/5.
 NUMERATOR, DENOMINATOR = 4, 5
 
@@ -46,8 +48,8 @@ def signatures(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, texts in chunks(batch.column("text").to_pylist()):
-                runs, first, codes = shingles(texts)
+            for start, texts in text_chunks(batch.column("text"), CHUNK):
+                runs, first, codes = shingles([t.encode() for t in texts])
                 values = min_hashes(runs, first, VALUES)
                 keys = band_keys(values)
                 yield pa.RecordBatch.from_arrays(

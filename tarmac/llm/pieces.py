@@ -14,7 +14,7 @@ Unknown characters become their UTF-8 bytes. Decoding is the library's own ``dec
 The tables of the model, of fixed size, travel with the job, so executors need no file.
 
 Nulls: a null text is empty and has no ids. Texts are encoded whole whatever their length;
-memory follows the longest text and ``CHUNK`` characters. Equal texts give equal ids. An
+memory follows the longest text and ``CHUNK`` bytes. Equal texts give equal ids. An
 empty table gives an empty result. Further columns pass through in ``row``.
 """
 
@@ -34,10 +34,10 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import column, packed
+from tarmac.llm.common import column, packed, text_chunks
 
-CHUNK = 4_000_000
-CACHED_WORDS = 200_000
+CHUNK = 1_000_000
+CACHED_WORDS = 100_000
 NEVER = 2**31 - 1
 WORD = re.compile(r" *[^ \n]+| +|\n")
 BLANK = "▁"
@@ -228,6 +228,14 @@ class Encoder:
         self.known: dict[str, tuple[int, ...]] = {}
 
     def encode(self, texts: list[str]) -> Iterator[list[int]]:
+        # Millions of tuples that refer to nothing: looking for cycles among them takes a third of the time.
+        gc.disable()
+        try:
+            yield from self._encode(texts)
+        finally:
+            gc.enable()
+
+    def _encode(self, texts: list[str]) -> Iterator[list[int]]:
         cut = [WORD.findall(" " + t.replace(BLANK, " ")) if t else [] for t in texts]
         known, distinct = self.known, set()
         for words in cut:
@@ -240,27 +248,14 @@ class Encoder:
             del known[word]
 
 
-def chunks(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
-    """Texts in turn, about ``CHUNK`` characters at a time, with the place of the first."""
-    start, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t or "")
-        if size >= CHUNK or i == len(texts) - 1:
-            yield start, [t or "" for t in texts[start : i + 1]]
-            start, size = i + 1, 0
-
-
 def encoded(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
     """``row`` (all columns) and the ``ids`` of each text."""
     vocabulary = load_vocabulary(model_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Millions of tuples that refer to nothing: looking for cycles among them takes a third of the time.
-        gc.disable()
         encoder = Encoder(vocabulary)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for start, part in chunks(texts):
+            for start, part in text_chunks(batch.column("text"), CHUNK):
                 ids = pa.array(list(encoder.encode(part)), pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([batch.column("row").slice(start, len(part)), ids], ["row", "ids"])
 
@@ -289,13 +284,11 @@ def round_trip_digests(docs: DataFrame, model_path: str, text: str = "text") ->
     vocabulary = load_vocabulary(model_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Millions of tuples that refer to nothing: looking for cycles among them takes a third of the time.
-        gc.disable()
         encoder = Encoder(vocabulary)
         sp = sentencepiece.SentencePieceProcessor(model_proto=vocabulary.model)
         decimal = list(map(str, range(vocabulary.n_pieces)))
         for batch in batches:
-            for start, part in chunks(batch.column("text").to_pylist()):
+            for start, part in text_chunks(batch.column("text"), CHUNK):
                 sizes, id_digests, text_digests = [], [], []
                 for ids in encoder.encode(part):
                     sizes.append(len(ids))

@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 
 WIDTH = 5
-CHUNK_BYTES = 400_000
 BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 
@@ -65,17 +62,6 @@ def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return runs, np.searchsorted(owners, np.arange(len(texts) + 1)), codes
 
 
-def chunks(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
-    """Texts in turn, about ``CHUNK_BYTES`` at a time, with the place of the first."""
-    start, part, size = 0, [], 0
-    for i, t in enumerate(texts):
-        part.append((t or "").encode())
-        size += len(part[-1])
-        if size >= CHUNK_BYTES or i == len(texts) - 1:
-            yield start, part
-            start, part, size = i + 1, [], 0
-
-
 def min_hashes(runs: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
     """``n`` MinHash values (32 bits) of each text with shingles, as rows; other rows are 0."""
     some = np.flatnonzero(np.diff(first) > 0)
