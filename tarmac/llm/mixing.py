@@ -212,7 +212,8 @@ def _chosen(units: DataFrame, planned: DataFrame, seed: int) -> DataFrame:
     more = F.col("last").isNull() | (F.col("bucket") < F.col("last.bucket"))
     # All words of a pattern without a last bucket fit into the rest, which is none if it is empty.
     repeats = F.col("times") + F.when(more & (F.col("rest") > 0), 1).otherwise(0)
-    return clear.select("pattern", "ident", "size", repeats.alias("repeats")).unionByName(picked)
+    chosen = clear.select("pattern", "ident", "size", repeats.alias("repeats")).unionByName(picked)
+    return chosen.withColumn("repeats", F.when(F.col("size") > 0, F.col("repeats")).otherwise(0))
 
 
 def _fill(units: pa.Table) -> pa.Table:

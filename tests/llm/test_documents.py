@@ -1,0 +1,263 @@
+"""The operators on documents against brute force, on odd rows, on no rows and on the smallest tables."""
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tarmac.llm import lines, mixing, ngrams, passages, pieces, pii, quality, sharding
+from tarmac.llm.queries import queries, table, tokenizer_path
+
+FOLDER = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+@pytest.fixture(scope="module", params=["odd", "given", "none"])
+def docs(request, spark, odd_docs, no_docs):
+    return {"odd": odd_docs, "given": table(spark, FOLDER, "documents"), "none": no_docs}[request.param]
+
+
+def by_content(rows):
+    return sorted(rows, key=repr)
+
+
+def test_quality_features(docs):
+    def brute(text):
+        words = WORD.findall(text)
+        runs = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+        inside = {j for i in range(len(words) - 4) if runs[tuple(words[i : i + 5])] > 1 for j in range(i, i + 5)}
+        own = [x for x in text.split("\n") if WORD.search(x)]
+        return len(words), sum(map(len, words)), sum(map(text.count, "#*$%&|<>")), len(own) - len(set(own)), len(inside)
+
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    result = quality.judged(docs).select("row.text", *names, "base_failed", "kept").collect()
+    assert len(result) == docs.count()
+    for r in result:
+        assert tuple(r[n] for n in names) == brute(r.text or "")
+        assert r.base_failed == (r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words)
+        assert not (r.base_failed and r.kept)
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns and kept.count() == sum(r.kept for r in result)
+
+
+def test_sketch_buckets_are_in_order(spark):
+    rows = spark.range(5000).select("id", quality.bucket(F.col("id")).alias("b"))
+    found = rows.withColumn("low", quality.bucket_floor(F.col("b"))).orderBy("id").collect()
+    assert all(x.b <= y.b for x, y in zip(found, found[1:]))
+    assert all(r.low <= r.id and (r.id - r.low) * 16 <= r.id for r in found)
+
+
+def test_good_and_bad_labels(spark):
+    folder = "/root/testdata/sf0.01"
+    marks = quality.judged(table(spark, folder, "documents")).select("row.doc_id", "base_failed", "kept")
+    both = marks.join(table(spark, folder, "labels"), "doc_id").where("not base_failed").groupBy("quality").agg(F.avg(F.col("kept").cast("int")))
+    share = {r[0]: r[1] for r in both.collect()}
+    assert share[1] > 0.99 and share.get(0, 0) < 0.1
+
+
+def _passes(kind, match):
+    digits = re.sub("[^0-9]", "", match)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in match.split("."))
+    if kind == "card":
+        return 13 <= len(digits) <= 19 and sum(
+            int(d) if i % 2 == 0 else sum(divmod(2 * int(d), 10)) for i, d in enumerate(reversed(digits))
+        ) % 10 == 0
+    return kind == "email" or 9 <= len(digits) <= 15
+
+
+def test_base_spans(docs):
+    result = pii.detected(docs).select("row.text", *pii.BASE, "added").collect()
+    assert len(result) == docs.count()
+    for r in result:
+        for kind, pattern in BASE.items():
+            expected = [(m.start(), m.end()) for m in re.finditer(pattern, r.text or "") if _passes(kind, m[0])]
+            assert [(s.start, s.stop) for s in r[kind]] == expected
+        assert all((r.text or "")[s.start : s.stop] == s.found for s in r.added)
+
+
+@pytest.mark.parametrize(
+    "text", ["a@b.com_x@y.z", "1.2.3.4.5 256.1.1.1 001.2.3.0255", "x@@y.z a.b@c..d u@v.w.", "4" * 40 + " 4111111111111111",
+             "4111-1111 1111 1111.", "+1 2 +33 1 23 45 67 89) ", "7" * 50_000, "a." * 30_000 + "@", "\U0001f600 q@w.e"]
+)
+def test_spans_of_odd_texts(spark, text):
+    row = pii.searched(spark.createDataFrame([(text,)], "text string")).first()
+    for kind, pattern in BASE.items():
+        if len(text) < 1000:
+            expected = [(m.start(), m.end()) for m in re.finditer(pattern, text) if _passes(kind, m[0])]
+            assert [(s.start, s.stop) for s in row[kind]] == expected
+
+
+def test_reliable_labelers_are_found():
+    # The first two labelers agree, the last one votes against the truth half of the time.
+    counts = {(1, 1, 0, 0, 1): 40, (1, 1, 0, 0, -1): 40, (-1, -1, 0, 0, 1): 60, (-1, -1, 0, 0, -1): 60}
+    belief = pii.estimated(counts)
+    weights = pii.trained(counts, belief)
+    assert all((b > 0.9) == (v[0] == 1) for v, b in belief.items())
+    score = lambda v: sum(a * b for a, b in zip(weights, pii.features(v)))
+    assert all((score(v) > 0) == (v[0] == 1) for v in counts)
+
+
+def test_shards(docs):
+    rows = sharding.sharded(docs, ["doc_id"], 24, seed=3).select("row", "shard", "slot").collect()
+    assert len(rows) == docs.count()
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert not rows or max(map(len, slots.values())) - min(len(slots[k]) for k in range(24)) <= 1
+    again = sharding.sharded(docs.repartition(5), ["doc_id"], 24, seed=3).select("row", "shard", "slot").collect()
+    assert by_content(rows) == by_content(again)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 17, 1000, 4096, 5001])
+def test_permutation(spark, n):
+    found = spark.range(n).select(sharding.permuted(F.col("id"), n, 9).alias("p")).collect()
+    assert sorted(r.p for r in found) == list(range(n))
+
+
+def test_mix(docs):
+    rows = mixing.accounted(docs, F.array("source"), seed=1)
+    found = rows.select("row.source", "row.text", "size", "repeats", "target").collect()
+    assert len(found) == docs.count()
+    total, taken, target = Counter(), Counter(), {}
+    for r in found:
+        assert r["size"] == len(WORD.findall(r.text or "")) and 0 <= r.repeats <= 3
+        total[r.source] += r["size"]
+        taken[r.source] += r["size"] * r.repeats
+        target[r.source] = r.target
+    if found:
+        assert sum(target.values()) == pytest.approx(sum(total.values()))
+        largest = max(r["size"] for r in found)
+        assert all(target[s] <= 3 * total[s] + 1e-6 and abs(taken[s] - target[s]) <= largest for s in target)
+    again = mixing.accounted(docs.repartition(4), F.array("source"), seed=1)
+    assert by_content(found) == by_content(again.select("row.source", "row.text", "size", "repeats", "target").collect())
+    assert mixing.mixed(docs, F.array("source"), seed=1).count() == sum(r.repeats for r in found if r["size"])
+
+
+def test_flow_serves_overlapping_sources():
+    flow = mixing.solve([10.0, 10.0, 5.0], [[0], [0, 1], [1]], [10.0, 15.0])
+    assert sum(w for p in flow for s, w in p if s == 0) == pytest.approx(10)
+    assert sum(w for p in flow for s, w in p if s == 1) == pytest.approx(15)
+    # Nothing is repeated as long as anything is unused.
+    assert [sum(w for _, w in p) for p in flow] == pytest.approx([10, 10, 5])
+    repeated = mixing.solve([10.0, 1.0], [[0], [1]], [5.0, 7.0])
+    assert [sum(w for _, w in p) for p in repeated] == pytest.approx([5, 3])
+
+
+def test_encoding_equals_the_library(docs):
+    sp = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path())
+    digest = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    rows = pieces.round_trip_digests(docs, tokenizer_path()).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        ids = sp.encode(r.row.text or "")
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), digest(",".join(map(str, ids))))
+        assert r.decoded_sha256 == digest(sp.decode(ids) if ids else "")
+    encoded = pieces.encoded(docs, tokenizer_path())
+    assert all(r.ids == sp.encode(r.row.text or "") for r in encoded.collect())
+    decoded = pieces.decoded(encoded, tokenizer_path()).collect()
+    assert all(r.text == (sp.decode(sp.encode(r.row.text)) if r.row.text else "") for r in decoded)
+
+
+def test_encoding_of_odd_texts():
+    sp = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path())
+    texts = ["", " ", "  a  b ", "▁x ▁", "\x00a", " " * 40 + "x", "a" * 300, "\n\n a\n  b \n", "abab" * 60,
+             "<s> </s> <0x41>", "\U00013000 ﷽", "aaaaabbbbbaaaa", "the" * 50]
+    assert list(pieces.Encoder(pieces.load_vocabulary(tokenizer_path())).encode(texts)) == sp.encode(texts)
+
+
+def _shingles(text):
+    words = WORD.findall(text or "")
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} if len(words) >= 5 else {tuple(words)} - {()}
+
+
+def test_similar_documents(docs):
+    texts = {r.doc_id: _shingles(r.text) for r in docs.collect()}
+    links = {a: {b for b in texts if a != b and texts[a] and texts[b] and
+                 5 * len(texts[a] & texts[b]) >= 4 * len(texts[a] | texts[b])} for a in texts}
+    group = {}
+    for a in sorted(texts):
+        todo = [] if a in group else [a]
+        while todo:
+            b = todo.pop()
+            if b not in group:
+                group[b] = a
+                todo += links[b]
+    found = {r.id: (r.class_id, r.n_links) for r in ngrams.linked(docs).collect()}
+    assert found == {a: (group[a], len(links[a])) for a in texts}
+    kept = ngrams.one_of_each(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(group.values()))
+
+
+def test_buckets_larger_than_a_block(spark, monkeypatch):
+    monkeypatch.setattr(ngrams, "BLOCK", 7)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join([*base[:i], f"x{i}", *base[i + 1 :]])) for i in range(40)]
+    found = ngrams.linked(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.class_id, r.n_links) for r in found} == {(0, 39)}
+
+
+@pytest.mark.parametrize("min_sites", [2, 3])
+def test_boilerplate_lines(docs, min_sites):
+    sites = defaultdict(set)
+    for r in docs.collect():
+        for line in (r.text or "").split("\n"):
+            if len(WORD.findall(line)) >= 4:
+                sites[tuple(WORD.findall(line))].add(r.source)
+    common = {w for w, s in sites.items() if len(s) >= min_sites}
+    for r in lines.cleaned(docs, min_sites=min_sites).collect():
+        old = (r.row.text or "").split("\n")
+        left = [x for x in old if tuple(WORD.findall(x)) not in common]
+        cut = len(left) < len(old) and any(WORD.search(x) for x in left)
+        assert r.clean == ("\n".join(left) if cut else r.row.text)
+        assert r.n_removed == (len(old) - len(left) if cut else 0)
+    assert lines.without_boilerplate(docs).columns == docs.columns
+
+
+def test_repeated_passages(docs):
+    first, units = {}, {}
+    for r in sorted(docs.collect(), key=lambda r: r.doc_id):
+        units[r.doc_id] = passages.units_of(r.text or "")
+        for k, u in enumerate(units[r.doc_id]):
+            if u[3]:
+                first.setdefault(u[3], (r.doc_id, k))
+    for r in passages.deduplicated(docs).collect():
+        own, text = r.row.doc_id, r.row.text
+        places = [k for k, u in enumerate(units[own]) if u[3] and first[u[3]] != (own, k)]
+        spans = passages.spans_to_remove(text, places, passages.MIN_WORDS) if places else []
+        assert r.clean == (passages.without(text, spans) if spans else text)
+        assert r.removed == ",".join(f"{a}:{b}" for a, b in spans) and r.n_removed == len(spans)
+
+
+def test_a_planted_passage_stays_once(spark):
+    passage = " ".join(f"Sentence number {i} says that all is well." for i in range(9))
+    rows = [(3, f"Begins here. {passage}"), (1, f"Other words.\nMore of them. {passage} The end."), (2, "Clean text of its own.")]
+    found = {r.row.doc_id: r.clean for r in passages.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert passage in found[1] and found[2] == "Clean text of its own."
+    assert found[3].strip() == "Begins here."
+
+
+def test_pipeline(spark):
+    docs = table(spark, FOLDER, "documents")
+    for name, stage in corpus_pipeline.STAGES:
+        result = stage(spark, docs, FOLDER)
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert result.columns == docs.columns
+            docs = result.cache()
+    whole = corpus_pipeline.run(spark, FOLDER)
+    assert by_content(whole.collect()) == by_content(result.collect())
+
+
+def test_every_operator_is_registered():
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries()) == list(range(1, 11))
