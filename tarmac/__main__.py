@@ -10,6 +10,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tarmac.functions.texts import CESSNA_LABEL
 from tarmac.model import AIRCRAFTS, AIRLINES, FLIGHTS, Relation
@@ -33,6 +34,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
             sub.add_argument(f"--{relation}", required=True, help="path of the files")
         sub.add_argument("--parquet", nargs="+", choices=inputs, default=[], help="inputs that are parquet, not CSV")
         sub.add_argument("--quoted", action="store_true", help="CSV fields may be quoted")
+        sub.add_argument("--no-header", action="store_true", help="CSV files have no header line")
+        sub.add_argument("--several-files", action="store_true", help="write as many files as there are tasks")
         sub.add_argument("--output", required=True)
         return sub
 
@@ -44,6 +47,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     delay = command("departure-delay", "delays per airline in a year", "flights", "aircrafts", "airlines")
     delay.add_argument("--year", required=True)
     delay.add_argument("--country", default=UNITED_STATES)
+    delay.add_argument("--known-aircraft", choices=["inner", "left_semi"], default="inner")
     delay.add_argument("--minutes", choices=["of_hour", "total"], default="of_hour")
 
     types = command("popular-types", "aircraft types each airline uses most", "flights", "aircrafts", "airlines")
@@ -62,7 +66,7 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
         path = getattr(args, relation.name)
         if relation.name in args.parquet:
             return read_parquet(spark, path, relation, columns)
-        return read_relation(spark, path, relation, columns, args.quoted)
+        return read_relation(spark, path, relation, columns, args.quoted, not args.no_header)
 
     if args.report == "ingest-flights":
         write_flights_by_year(read(FLIGHTS), args.output)
@@ -71,13 +75,15 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
         result = top_models(read(FLIGHTS, TAIL), read(AIRCRAFTS), args.manufacturer, args.label, args.n)
     elif args.report == "departure-delay":
         result = departure_delay(
-            read(FLIGHTS), read(AIRCRAFTS, TAIL), read(AIRLINES), args.year, args.country, args.minutes
+            read(FLIGHTS), read(AIRCRAFTS, TAIL), read(AIRLINES), args.year, args.country, args.minutes,
+            args.known_aircraft,
         )
     else:
         result = popular_types(
             read(FLIGHTS, CARRIER_AND_TAIL), read(AIRCRAFTS), read(AIRLINES), args.country, args.n, args.measure
         )
-    write_tuple_text(result, args.output, single_file=True)
+    order = [F.desc("flights"), F.asc("model")] if args.report == "top-models" else ["airline"]
+    write_tuple_text(result, args.output, not args.several_files, order)
 
 
 if __name__ == "__main__":

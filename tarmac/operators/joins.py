@@ -21,13 +21,13 @@ from tarmac.functions import aircraft_type
 # Memory of a broadcast row beyond its text: row header, and a word per column.
 ROW_BYTES = 32
 COLUMN_BYTES = 16
-UNIT_SHIFT = {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}
+UNIT_SHIFT = {"": 0, "k": 10, "m": 20, "g": 30, "t": 40, "p": 50}
 
 
 def broadcast_limit(spark: SparkSession) -> int:
     """The session's automatic broadcast limit in bytes, negative if broadcasting is off."""
     setting = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
-    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgt]?)i?b?", setting).groups()
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)i?b?", setting).groups()
     return int(number) << UNIT_SHIFT[unit]
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions import tuple_line
@@ -14,15 +14,20 @@ def tuple_lines(result: DataFrame) -> DataFrame:
     return result.select(tuple_line(*[F.col(c) for c in result.columns]).alias("line"))
 
 
-def write_tuple_text(result: DataFrame, path: str, single_file: bool = False) -> None:
+def write_tuple_text(
+    result: DataFrame, path: str, single_file: bool = False, order_by: list[str | Column] | None = None
+) -> None:
     """Write a result as text lines, replacing what is there, in the result's order.
 
     A sorted result is in order across its files too. ``single_file`` brings all lines
-    into one task; it is meant for results of report size.
+    into one task; it is meant for results of report size. Tasks read what they are sent in any
+    order, so the order of a single file is only certain with ``order_by``, by which that task sorts.
     """
-    lines = tuple_lines(result)
     if single_file:
-        lines = lines.coalesce(1)
+        result = result.repartition(1).sortWithinPartitions(*order_by) if order_by else result.coalesce(1)
+    elif order_by:
+        result = result.orderBy(*order_by)
+    lines = tuple_lines(result)
     lines.write.mode("overwrite").text(path)
 
 

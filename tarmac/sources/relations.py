@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tarmac.model import Relation
 
@@ -17,8 +18,9 @@ def read_relation(
     relation: Relation,
     columns: list[str] | None = None,
     quoted: bool = False,
+    header: bool = True,
 ) -> DataFrame:
-    """Read a relation from CSV files with a header line each.
+    """Read a relation from CSV files, with a header line each unless ``header`` is off.
 
     Lines with too few fields for the wanted columns are dropped, further fields are
     ignored, and an empty field is ``''``. So a line that ends early is still read if only
@@ -30,13 +32,7 @@ def read_relation(
     """
     wanted = relation.position_of(columns)
     last = max(wanted.values())
-    lines = (
-        spark.read.schema("line string")
-        .option("header", True)
-        .option("sep", NO_SEPARATOR)
-        .option("quote", "")
-        .csv(path)
-    )
+    lines = _lines_below_headers(spark, path) if header else spark.read.text(path).toDF("line")
     if quoted:
         complete = _has_commas(F.regexp_replace("line", '"[^"]*"', ""), last)
         fields = F.from_csv("line", ", ".join(f"_{i} string" for i in range(last + 1)))
@@ -48,6 +44,20 @@ def read_relation(
     return lines.where(complete).select(fields.alias("fields")).select(*picked)
 
 
+def _lines_below_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Whole lines without the first of each file. A line that does hold the separator is broken
+    to the reader, which keeps such lines whole in a column of their own. Lines of blanks only are left out."""
+    lines = (
+        spark.read.schema("line string, whole string")
+        .option("header", True)
+        .option("sep", NO_SEPARATOR)
+        .option("quote", "")
+        .option("columnNameOfCorruptRecord", "whole")
+        .csv(path)
+    )
+    return lines.select(F.coalesce("whole", "line").alias("line"))
+
+
 def _has_commas(text: Column, n: int) -> Column:
     """Whether there are at least ``n`` commas, without splitting the text.
 
@@ -59,7 +69,13 @@ def _has_commas(text: Column, n: int) -> Column:
 def read_parquet(
     spark: SparkSession, path: str, relation: Relation, columns: list[str] | None = None
 ) -> DataFrame:
-    """Read a relation from parquet with the relation's column names."""
+    """Read a relation from parquet with the relation's column names.
+
+    Folder names of years are read as text; as numbers, a year that is none would not compare.
+    """
     table = spark.read.parquet(path)
+    if "flight_year" in table.columns:
+        names = [StructField(f.name, StringType() if f.name == "flight_year" else f.dataType) for f in table.schema]
+        table = spark.read.schema(StructType(names)).parquet(path)
     extra = [c for c in ("flight_year",) if c in table.columns]
     return table.select(*(columns or relation.columns), *extra)

@@ -13,7 +13,7 @@ from tarmac.sources.relations import NO_SEPARATOR
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new path in the cluster's shared checkpoint folder.
+    """A new path in the cluster's shared checkpoint folder, gone when the driver ends.
 
     Only a local session without one gets a temporary folder; executors on other machines
     could not read that.
@@ -23,7 +23,13 @@ def scratch_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         shared = tempfile.mkdtemp(prefix="tarmac-")
-    return f"{shared}/tarmac-{uuid.uuid4()}"
+    folder = f"{shared}/tarmac-{uuid.uuid4()}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    # The folder has to be there to be put down for deletion when the driver ends.
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return f"{folder}/data"
 
 
 def write_csv_lines(rows: DataFrame, relation: Relation, path: str) -> None:

@@ -56,3 +56,11 @@ def test_filters_reach_the_scan(spark, tmp_path):
     aircrafts(spark, [("N", "CESSNA", "1")]).write.parquet(str(tmp_path / "a"))
     plan = physical(filters.by_manufacturer(spark.read.parquet(str(tmp_path / "a"))))
     assert "EqualTo(manufacturer,CESSNA)" in plan
+
+
+def test_a_year_that_is_no_number_on_the_year_table(spark, tmp_path):
+    rows = flights(spark, [("C", d, "N", "a", "b") for d in ("2004-01-02", "2005-01-01", "", "99")])
+    write_flights_by_year(rows, str(tmp_path / "flights"))
+    table = read_parquet(spark, str(tmp_path / "flights"), FLIGHTS)
+    for year, n in (("2004", 1), ("abcd", 0), ("200%", 0), ("99", 0)):
+        assert filters.by_year(table, year).count() == n

@@ -27,3 +27,10 @@ def test_files_are_in_order_too(spark, tmp_path):
     parts = sorted((tmp_path / "out").glob("part-*"))
     assert len(parts) > 1
     assert [line for p in parts for line in p.read_text().splitlines()] == [f"({i})" for i in range(1000)]
+
+
+def test_a_single_file_is_sorted_by_its_own_task(spark, tmp_path):
+    rows = spark.range(3000).selectExpr("(id * 37) % 3000 n").repartition(9)
+    write_tuple_text(rows, str(tmp_path / "out"), single_file=True, order_by=["n"])
+    (part,) = (tmp_path / "out").glob("part-*")
+    assert part.read_text().splitlines() == [f"({i})" for i in range(3000)]

@@ -5,6 +5,7 @@ import pytest
 from helpers import tuples
 from tarmac import columns_from_mask, read_relation
 from tarmac.model import AIRCRAFTS, AIRLINES, FLIGHTS, RELATIONS, Relation
+from tarmac.sources.relations import NO_SEPARATOR
 from tarmac.sources.scratch import scratch_folder
 
 
@@ -138,3 +139,17 @@ def test_scratch_folder_is_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_folder(spark), scratch_folder(spark)
     assert first.startswith(f"{shared}/") and first != second
+
+
+def test_files_without_header_keep_their_first_line(spark, tmp_path):
+    lines = ["A1,one,X", "A2,two,Y"]
+    (tmp_path / "airlines.csv").write_text("\n".join(lines) + "\n")
+    read = read_relation(spark, str(tmp_path), AIRLINES, header=False)
+    assert sorted(tuple(r) for r in read.collect()) == [("A1", "one", "X"), ("A2", "two", "Y")]
+
+
+def test_line_with_the_separator_is_kept_whole(spark, tmp_path):
+    odd = f"a{NO_SEPARATOR}b"
+    (tmp_path / "airlines.csv").write_text(f"code,name,country\nA1,{odd},X\nA2,two,{odd}\n")
+    read = read_relation(spark, str(tmp_path), AIRLINES)
+    assert sorted(tuple(r) for r in read.collect()) == [("A1", odd, "X"), ("A2", "two", odd)]
