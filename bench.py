@@ -12,7 +12,7 @@ import statistics
 import sys
 import time
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -60,13 +60,15 @@ def main() -> None:
     registered = catalog.queries()
     timed = {name: seconds(lambda: registered[name](spark, folder)) for name in HEADLINE}
 
-    star = read_star(spark, folder)
-    dims = (star.flights, star.aircrafts, star.airlines)
+    def dims() -> tuple[DataFrame, DataFrame, DataFrame]:
+        star = read_star(spark, folder)  # each run opens the tables, as the queries do
+        return star.flights, star.aircrafts, star.airlines
+
     plain = {
-        "top_models": lambda: naive_forms.top_models(star.flights, star.aircrafts, catalog.MANUFACTURER),
-        "departure_delay": lambda: naive_forms.departure_delay(*dims, catalog.YEAR, catalog.COUNTRY),
-        "popular_types_all": lambda: naive_forms.popular_types(*dims),
-        "popular_types_country": lambda: naive_forms.popular_types(*dims, catalog.COUNTRY),
+        "top_models": lambda: naive_forms.top_models(*dims()[:2], catalog.MANUFACTURER),
+        "departure_delay": lambda: naive_forms.departure_delay(*dims(), catalog.YEAR, catalog.COUNTRY),
+        "popular_types_all": lambda: naive_forms.popular_types(*dims()),
+        "popular_types_country": lambda: naive_forms.popular_types(*dims(), catalog.COUNTRY),
     }
     naive = {name: seconds(build) for name, build in plain.items()}
     spark.stop()

@@ -43,19 +43,8 @@ def _listed_twice(s: Star) -> Star:
     return Star(s.flights, s.aircrafts.unionAll(s.aircrafts), s.airlines)
 
 
-def _late_flights(s: Star) -> DataFrame:
-    """Late flights of all years with the name of their airline."""
-    named = joins.with_airline(s.flights, s.airlines)
-    return filters.delayed(named).select("airline", "delay")
-
-
-def _delay_total(aggregate: Callable[[str], object], name: str) -> Callable[[Star], DataFrame]:
-    return lambda s: _late_flights(s).groupBy("airline").agg(aggregate("delay").alias(name))
-
-
-def _airline_types(s: Star) -> DataFrame:
-    known = joins.with_aircraft(s.flights.select("carrier_code", "tail_number"), s.aircrafts)
-    return joins.with_airline(known, s.airlines).select("airline", "aircraft_type")
+def _delay_total(column: str) -> Callable[[Star], DataFrame]:
+    return lambda s: plans.delay_totals(s.flights, s.airlines).select("airline", column)
 
 
 def _csv_scan(relation_name: str) -> Query:
@@ -125,24 +114,29 @@ def queries() -> dict[str, Query]:
             s.flights, filters.by_manufacturer(s.aircrafts, MANUFACTURER), how="left_semi"
         ),
         "flights_with_aircraft_shuffled": lambda s: joins.with_aircraft(s.flights, s.aircrafts, limit=0),
+        "flights_with_airline_shuffled": lambda s: joins.with_airline(s.flights, s.airlines, limit=0),
         # Aggregates
         "flights_per_model": lambda s: plans.flights_per_model(s.flights, s.aircrafts, MANUFACTURER),
-        "delay_count": _delay_total(F.count, "delayed_flights"),
-        "delay_sum": _delay_total(F.sum, "total_delay"),
-        "delay_min": _delay_total(F.min, "min_delay"),
-        "delay_max": _delay_total(F.max, "max_delay"),
-        "delay_avg": _delay_total(lambda c: F.call_function("div", F.sum(c), F.count(c)), "avg_delay"),
+        "delay_count": _delay_total("delayed_flights"),
+        "delay_sum": _delay_total("total_delay"),
+        "delay_min": _delay_total("min_delay"),
+        "delay_max": _delay_total("max_delay"),
+        "delay_avg": _delay_total("avg_delay"),
         # Rankings and lists
         "type_counts": lambda s: plans.type_counts(*_dims(s)),
         "top_types_per_airline": lambda s: plans.top_types(*_dims(s)),
         "type_lists": lambda s: ranking.ordered_list(
             plans.top_types(*_dims(s), COUNTRY, n=3), "airline", "aircraft_type", "aircraft_types"
         ),
+        # More than Spark cuts off in the tasks by itself
+        "top_2000_types_per_airline": lambda s: plans.top_types(*_dims(s), n=2000),
         "top_n_global": lambda s: ranking.top_n(
             plans.type_counts(*_dims(s)), "n", ["aircraft_type", "airline"], 20
         ),
         "airlines_by_name": lambda s: s.airlines.orderBy("name", "carrier_code"),
-        "approx_top_types": lambda s: ranking.approx_top_n(_airline_types(s), "airline", "aircraft_type", 5),
+        "approx_top_types": lambda s: ranking.approx_top_n(
+            plans.type_counts(*_dims(s)), "airline", "aircraft_type", 5, weight="n"
+        ),
         # Text output
         "tuple_lines": lambda s: tuple_lines(plans.type_counts(*_dims(s))),
     }
@@ -259,6 +253,9 @@ def oracle_sql() -> dict[str, str]:
 select carrier_code, flight_date, tail_number, scheduled_departure, actual_departure, manufacturer, model,
        manufacturer || ' ' || model as aircraft_type
 from flights join aircrafts using (tail_number)"""
+    with_airline = RELATIONS_SQL + """
+select carrier_code, flight_date, tail_number, scheduled_departure, actual_departure, name as airline, country
+from flights join airlines using (carrier_code)"""
     return {
         "top_models": top_models,
         "departure_delay": departure_delay,
@@ -291,9 +288,8 @@ from timed""",
 select carrier_code, flight_date, tail_number, scheduled_departure, actual_departure, of_hour as delay
 from late where of_hour > 0""",
         "flights_with_aircraft": with_aircraft,
-        "flights_with_airline": RELATIONS_SQL + """
-select carrier_code, flight_date, tail_number, scheduled_departure, actual_departure, name as airline, country
-from flights join airlines using (carrier_code)""",
+        "flights_with_airline": with_airline,
+        "flights_with_airline_shuffled": with_airline,
         "flights_of_known_aircraft": RELATIONS_SQL + f"""
 {_DATED_SQL} where tail_number in (select tail_number from aircrafts where manufacturer = '{MANUFACTURER}')""",
         "flights_with_aircraft_shuffled": with_aircraft,
@@ -305,6 +301,7 @@ from flights join airlines using (carrier_code)""",
         "delay_avg": _delay_aggregate_sql("sum(of_hour) // count(*)", "avg_delay"),
         "type_counts": _ranked_sql() + "\nselect airline, aircraft_type, n from counted",
         "top_types_per_airline": _ranked_sql() + "\nselect airline, aircraft_type, n, rank from ranked where rank <= 5",
+        "top_2000_types_per_airline": _ranked_sql() + "\nselect airline, aircraft_type, n, rank from ranked where rank <= 2000",
         "type_lists": _popular_types_sql(in_country, n=3),
         "top_n_global": _ranked_sql() + """
 select airline, aircraft_type, n from counted order by n desc, aircraft_type, airline limit 20""",

@@ -38,6 +38,9 @@ def by_year(flights: DataFrame, year: str) -> DataFrame:
 
 
 def delayed(flights: DataFrame, minutes: str = "of_hour") -> DataFrame:
-    """Flights that left late, with their ``delay`` (see :func:`tarmac.functions.delay_minutes`)."""
+    """Flights that left late, with their ``delay`` (see :func:`tarmac.functions.delay_minutes`).
+
+    A list of one delay or none in place of a filter, which would be pushed down and read the times again.
+    """
     delay = delay_minutes(F.col("scheduled_departure"), F.col("actual_departure"), minutes)
-    return flights.withColumn("delay", delay).where(F.col("delay").isNotNull())
+    return flights.withColumn("delay", F.explode(F.array_compact(F.array(delay))))

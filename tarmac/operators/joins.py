@@ -12,15 +12,19 @@ from __future__ import annotations
 
 import re
 from functools import reduce
+from math import ceil
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tarmac.functions import aircraft_type
 
 # Memory of a broadcast row beyond its text: row header, and a word per column.
 ROW_BYTES = 32
 COLUMN_BYTES = 16
+# Pieces of a hot key for each partition it fills: more than one, so that pieces that meet in a partition are small.
+PIECES = 4
 UNIT_SHIFT = {"": 0, "k": 10, "m": 20, "g": 30, "t": 40, "p": 50}
 
 
@@ -86,25 +90,53 @@ def with_dimension(
     return joined.select(*flights.columns, *[c for c in joined.columns if c not in flights.columns])
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    """The number of partitions that a shuffle has before adaptive execution puts small ones together."""
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    if spark.conf.get("spark.sql.adaptive.enabled") != "true":
+        return int(usual)
+    return int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or usual)
+
+
+def hot_keys(rows: DataFrame, key: str) -> list[tuple[object, int]]:
+    """Keys with more rows than an average shuffle partition, and the number of pieces to cut each into.
+
+    One reading of the rows gives counts and total. There are fewer hot keys than partitions,
+    whatever the data, and that many rows at most reach the driver.
+    """
+    partitions = shuffle_partitions(rows.sparkSession)
+    total = Observation()
+    counts = rows.groupBy(key).agg(F.count("*").alias("n")).observe(total, F.sum("n").alias("rows"))
+    most = counts.orderBy(F.desc("n"), key).limit(partitions).collect()
+    fair_share = (total.get["rows"] or 0) / partitions if most else 0
+    return [(row[key], ceil(PIECES * row["n"] / fair_share)) for row in most if row["n"] > fair_share]
+
+
 def spread_join(flights: DataFrame, dimension: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Shuffle join in which a key holding a large share of the flights is cut into many pieces.
+    """Shuffle join (inner or semi) in which a key holding a large share of the flights is cut into pieces.
 
-    A key is hot if it has more flights than an average shuffle partition. So there are at
-    most as many hot keys as partitions, and their list is small enough to broadcast
-    whatever the data. A hot key gets as many pieces as it fills partitions; its dimension
-    rows are repeated that many times, all other rows once.
+    A hot key gets ``PIECES`` pieces for each partition that it fills; its dimension rows are
+    repeated that many times, all other rows once. Equal flights travel as one row with the
+    number of its copies, and that number is shared out among the pieces. So equal rows
+    are spread like others, and a task that is run again cuts the same way, which it
+    would not if pieces followed from the place of a row in its task. Without hot keys this is a plain join.
     """
-    partitions = int(flights.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    fair_share = max(1.0, flights.count() / partitions)
-    hot = (
-        flights.groupBy(key)
-        .count()
-        .where(F.col("count") > fair_share)
-        .select(key, F.ceil(F.col("count") / fair_share).cast("int").alias("pieces"))
-    )
-    # A hash of the row, not a random number: a task run again must cut the same way.
-    piece = F.pmod(F.xxhash64(*flights.columns), F.coalesce("pieces", F.lit(1))).cast("int")
-    pieces = F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1)
-    cut = flights.join(F.broadcast(hot), key, "left").withColumn("piece", piece).drop("pieces")
-    repeated = dimension.join(F.broadcast(hot), key, "left").withColumn("piece", F.explode(pieces)).drop("pieces")
-    return cut.join(repeated, [key, "piece"], how).drop("piece")
+    flights = flights.where(F.col(key).isNotNull())
+    spark = flights.sparkSession
+    found = hot_keys(flights, key)
+    if not found:
+        return flights.join(dimension, key, how)
+    hot = F.broadcast(spark.createDataFrame(found, StructType([flights.schema[key], StructField("pieces", IntegerType())])))
+    piece, pieces = F.col("piece"), F.coalesce("pieces", F.lit(1))
+    parts = F.explode(F.sequence(F.lit(0), pieces - 1))
+
+    distinct = flights.groupBy(*flights.columns).agg(F.count("*").alias("copies")).join(hot, key, "left")
+    # A row with fewer copies than pieces goes whole to one of them, others are shared out.
+    home = F.pmod(F.xxhash64(*flights.columns), pieces).cast("int")
+    few = F.col("copies") < pieces
+    cut = distinct.withColumn("piece", F.explode(F.when(few, F.array(home)).otherwise(F.sequence(F.lit(0), pieces - 1))))
+    share = F.floor(F.col("copies") / pieces) + F.when(piece < F.col("copies") % pieces, 1).otherwise(0)
+    cut = cut.withColumn("copies", F.when(few, F.col("copies")).otherwise(share)).drop("pieces")
+    repeated = dimension.join(hot, key, "left").withColumn("piece", parts).drop("pieces")
+    joined = cut.join(repeated, [key, "piece"], how).drop("piece")
+    return joined.withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies")

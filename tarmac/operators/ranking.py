@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Pieces of a group that is ranked for a large n.
+PIECES = 64
+
 
 def top_n(counts: DataFrame, count: str, names: list[str], n: int) -> DataFrame:
     """The ``n`` rows with the highest count; equal counts by names. Each task keeps ``n`` rows."""
@@ -13,10 +16,21 @@ def top_n(counts: DataFrame, count: str, names: list[str], n: int) -> DataFrame:
 
 def top_n_per_group(counts: DataFrame, group: str, count: str, name: str, n: int) -> DataFrame:
     """The same for each group, with the ``rank`` from 1. At most ``n`` rows of a group
-    leave a task, so a group of any size is ranked without gathering it."""
-    best_first = Window.partitionBy(group).orderBy(F.desc(count), F.asc(name))
-    ranked = counts.withColumn("rank", F.row_number().over(best_first).cast("bigint"))
-    return ranked.where(F.col("rank") <= n)
+    leave a task, so a group of any size is ranked without gathering it.
+
+    Spark cuts groups off in the tasks only up to its ``windowGroupLimitThreshold``. Beyond
+    it a group is first ranked in ``PIECES`` pieces, and only the first ``n`` of each meet.
+    """
+    session = counts.sparkSession
+    if n > int(session.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        piece = F.pmod(F.xxhash64(name), F.lit(PIECES))
+        counts = _ranked(counts, [F.col(group), piece], count, name).where(F.col("rank") <= n).drop("rank")
+    return _ranked(counts, [F.col(group)], count, name).where(F.col("rank") <= n)
+
+
+def _ranked(counts: DataFrame, group: list[Column], count: str, name: str) -> DataFrame:
+    best_first = Window.partitionBy(*group).orderBy(F.desc(count), F.asc(name))
+    return counts.withColumn("rank", F.row_number().over(best_first).cast("bigint"))
 
 
 def ordered_list(ranked: DataFrame, group: str, name: str, into: str) -> DataFrame:
@@ -25,14 +39,16 @@ def ordered_list(ranked: DataFrame, group: str, name: str, into: str) -> DataFra
     return ranked.groupBy(group).agg(F.concat(F.lit("["), listed, F.lit("]")).alias(into))
 
 
-def approx_top_n(rows: DataFrame, group: str, name: str, n: int) -> DataFrame:
+def approx_top_n(rows: DataFrame, group: str, name: str, n: int, weight: str | None = None) -> DataFrame:
     """Top n names per group by number of rows: ``rank``, name, ``flights``.
 
+    Rows that stand for several have the number of these in the column ``weight``.
+
     Every group gets n names, or all it has, whatever their number. A sketch of bounded
     memory cannot promise that: it returns only names that it is sure of, and none at all
     of a group whose many names are alike. Rows are counted per group and name in each
     task and after the shuffle, so no memory grows with a group, and the counts are exact.
     Equal counts are in alphabetical order.
     """
-    counts = rows.groupBy(group, name).agg(F.count("*").alias("flights"))
+    counts = rows.groupBy(group, name).agg((F.sum(weight) if weight else F.count("*")).alias("flights"))
     return top_n_per_group(counts, group, "flights", name, n).select(group, "rank", name, "flights")

@@ -41,6 +41,25 @@ def top_models(
     return ranking.top_n(counts, "flights", ["model"], n)
 
 
+def delay_totals(
+    flights: DataFrame, airlines: DataFrame, minutes: str = "of_hour", limit: int | None = None
+) -> DataFrame:
+    """Delays of all flights per airline: ``airline, delayed_flights, total_delay, avg_delay, min_delay, max_delay``.
+
+    Columns that are not asked for are not added up.
+    """
+    facts = flights.select("carrier_code", "scheduled_departure", "actual_departure")
+    carriers = airlines.select("carrier_code", F.col("name").alias("airline"))
+    totals = rollup(facts, [Dimension(carriers, "carrier_code")], ["airline"], delay_statistics(minutes), limit)
+    return _with_average(totals)
+
+
+def _with_average(totals: DataFrame) -> DataFrame:
+    """Airlines with a delay, and the ``avg_delay`` in whole minutes."""
+    average = F.call_function("div", F.col("total_delay"), F.col("delayed_flights"))
+    return totals.where(F.col("delayed_flights") > 0).withColumn("avg_delay", average)
+
+
 def departure_delay(
     flights: DataFrame,
     aircrafts: DataFrame,
@@ -67,12 +86,8 @@ def departure_delay(
         raise ValueError(f"known_aircraft must be 'inner' or 'left_semi', not {known_aircraft!r}")
     dimensions = [Dimension(carriers, "carrier_code"), Dimension(tails, "tail_number")]
     totals = rollup(facts, dimensions, ["airline"], delay_statistics(minutes), limit)
-    average = F.call_function("div", F.col("total_delay"), F.col("delayed_flights"))
-    return (
-        totals.where(F.col("delayed_flights") > 0)
-        .select("airline", "delayed_flights", average.alias("avg_delay"), "min_delay", "max_delay")
-        .orderBy("airline")
-    )
+    columns = ["airline", "delayed_flights", "avg_delay", "min_delay", "max_delay"]
+    return _with_average(totals).select(*columns).orderBy("airline")
 
 
 def type_counts(

@@ -71,9 +71,27 @@ def test_hot_keys_are_cut(spark, no_broadcast, how):
     assert sorted(tuples(cut.select(*sorted(cut.columns)))) == sorted(
         tuples(f.join(d, "tail_number", how).select(*sorted(cut.columns)))
     )
-    # A partition's share is 1500 flights. HOT has 4000 (3 pieces), W0 and W1 2000 each (2 pieces).
-    pieces = cut._jdf.queryExecution().optimizedPlan().toString()
-    assert "ceil" in pieces.lower()
+    # A partition's share is 1500 flights. HOT has 4000 and W0 and W1 2000 each, with 4 pieces for each share.
+    assert sorted(joins.hot_keys(f, "tail_number")) == [("HOT", 11), ("W0", 6), ("W1", 6)]
+
+
+@pytest.mark.parametrize("how", ["inner", "left_semi"])
+def test_equal_rows_are_cut_and_kept_whole(spark, no_broadcast, how):
+    f = spark.range(9001).selectExpr(
+        "if(id % 3 = 0, 'HOT', concat('N', id % 50)) tail_number", "if(id % 2 = 0, 'A', null) carrier_code"
+    ).unionAll(spark.sql("select null, 'A' from range(5000)"))
+    d = spark.range(40).selectExpr("concat('N', id) tail_number").unionAll(spark.sql("values ('HOT'), ('HOT'), (null)"))
+    cut = joins.spread_join(f, d, "tail_number", how)
+    keys = ["tail_number", "carrier_code"]
+    plain = f.join(d, "tail_number", how)
+    assert sorted(map(str, tuples(cut.groupBy(*keys).count()))) == sorted(map(str, tuples(plain.groupBy(*keys).count())))
+
+
+def test_no_rows_and_no_hot_keys(spark, no_broadcast):
+    f = spark.range(100).selectExpr("cast(id as string) tail_number")
+    assert joins.hot_keys(f.where("false"), "tail_number") == []
+    assert joins.spread_join(f.where("false"), f, "tail_number").count() == 0
+    assert "piece" not in physical(joins.spread_join(f, f.select("tail_number"), "tail_number"))
 
 
 def test_cutting_spreads_the_rows(spark, no_broadcast):
@@ -89,3 +107,32 @@ def test_cutting_spreads_the_rows(spark, no_broadcast):
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert sum(counts) == sum(plain) == joined.count() == 16_000
     assert max(plain) > 16_000 / 3 > max(counts)
+
+
+def test_cutting_spreads_equal_rows(spark, no_broadcast):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        f = spark.range(16_000).selectExpr("if(id % 3 = 0, 'HOT', concat('N', id)) tail_number", "'S' carrier_code")
+        d = spark.range(16_000).selectExpr("concat('N', id) tail_number").unionAll(spark.sql("select 'HOT'"))
+        sizes = joins.spread_join(f, d, "tail_number").groupBy(F.spark_partition_id()).count()
+        counts = [r["count"] for r in sizes.collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(counts) == 16_000
+    assert max(counts) < 16_000 / 4
+
+
+def test_flights_are_read_twice_at_most(spark, no_broadcast, tmp_path):
+    rows = spark.range(1000).selectExpr("if(id % 3 = 0, 'HOT', concat('N', id)) tail_number", "'S' carrier_code")
+    rows.write.parquet(str(tmp_path / "flights"))
+    f = spark.read.parquet(str(tmp_path / "flights"))
+    d = spark.sql("values ('HOT'), ('N1') as t(tail_number)")
+    spark.sparkContext.setJobGroup("measure", "hot keys")
+    try:
+        joined = joins.spread_join(f, d, "tail_number")
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("measure")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # One reading for the hot keys (a job for each stage), one in the join.
+    assert len(jobs) <= 2
+    assert len([line for line in physical(joined).splitlines() if "FileScan parquet" in line]) == 1

@@ -52,6 +52,12 @@ def test_departure_delay(tables):
     assert len([line for line in plan.splitlines() if "RLIKE" in line]) == 1
 
 
+@pytest.mark.parametrize("name", ["delayed_flights", "delay_count", "delay_sum", "delay_avg"])
+def test_times_are_read_once(spark, name):
+    plan = physical(catalog.queries()[name](spark, FOLDER))
+    assert len([line for line in plan.splitlines() if "RLIKE" in line]) == 1
+
+
 def test_popular_types(tables):
     plan = physical(popular_types(*tables))
     assert plan.count("WindowGroupLimit") == 2

@@ -60,3 +60,20 @@ def test_approx_top_n_fills_groups_of_many_equal_names(spark):
     assert [(r.name, r.flights) for r in top] == [("heavy", 14), ("t0", 10), ("t1", 10), ("t10", 10), ("t100", 10)]
     few = ranking.approx_top_n(heavy, "g", "name", 5).collect()
     assert [tuple(r) for r in few] == [("g", 1, "heavy", 14)]
+
+
+def test_top_n_per_group_for_large_n(spark):
+    rows = spark.range(40_000).selectExpr("concat('g', id % 2) g", "concat('t', id) name", "(id * 7919) % 977 n")
+    top = ranking.top_n_per_group(rows, "g", "n", "name", 5000)
+    for g in ("g0", "g1"):
+        members = [(-(i * 7919 % 977), f"t{i}") for i in range(40_000) if f"g{i % 2}" == g]
+        best = [(name, -n) for n, name in sorted(members)[:5000]]
+        found = sorted(tuples(top.where(f"g = '{g}'").select("rank", "name", "n")))
+        assert found == [(k, *pair) for k, pair in enumerate(best, 1)]
+    assert physical(top).count("hashpartitioning(g") == 2
+    assert "_pmod" in physical(top) or "pmod(" in physical(top)
+
+
+def test_approx_top_n_of_weighted_rows(spark):
+    rows = spark.createDataFrame([("g", "a", 2), ("g", "b", 3), ("g", "a", 2)], "g string, name string, n bigint")
+    assert sorted(tuples(ranking.approx_top_n(rows, "g", "name", 1, weight="n"))) == [("g", 1, "a", 4)]
