@@ -21,6 +21,8 @@ table gives an empty result. Further columns pass through in ``row``.
 
 from __future__ import annotations
 
+from math import isqrt
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -30,8 +32,9 @@ from tarmac.llm.common import column, packed, stored, word_array
 
 MOST = 3
 WEIGHTS = (5, 2, 1)
-#: Documents of a bucket of the seeded order, about.
-BUCKET_DOCS = 20_000
+#: Documents of a bucket of the seeded order, about; the root of a pattern's documents where that is more,
+#: so that neither the buckets of a pattern nor the documents of one of them become too many for a task.
+BUCKET_DOCS = 2_000
 MOST_PATTERNS = 100_000
 
 
@@ -180,7 +183,7 @@ def decided(documents: DataFrame, seed: int = 0) -> tuple[DataFrame, DataFrame]:
         words = sum(w for _, w in flow)
         times = min(MOST, int(words / row["words"] + 1e-9)) if row["words"] else 0
         rest = max(0.0, words - times * row["words"]) if times < MOST else 0.0
-        plan.append((row["pattern"], times, float(rest), max(1, -(-row["units"] // BUCKET_DOCS))))
+        plan.append((row["pattern"], times, float(rest), -(-row["units"] // max(BUCKET_DOCS, isqrt(row["units"])))))
     # One row per pattern, MOST_PATTERNS at most.
     planned = spark.createDataFrame(plan, "pattern array<string>, times int, rest double, buckets long")
     sources = spark.createDataFrame(
@@ -195,7 +198,7 @@ def _chosen(units: DataFrame, planned: DataFrame, seed: int) -> DataFrame:
     units = units.withColumn("turn", turn).join(F.broadcast(planned), "pattern")
     units = units.withColumn("bucket", F.floor(F.col("turn") / float(1 << 63) * F.col("buckets")))
     in_order = Window.partitionBy("pattern").orderBy("bucket")
-    # One row per bucket, that is one in BUCKET_DOCS of the documents.
+    # One row per bucket, that is one in BUCKET_DOCS of the documents or fewer.
     upto = (
         units.groupBy("pattern", "bucket", "rest").agg(F.sum("words").alias("words"))
         .withColumn("upto", F.sum("words").over(in_order))
