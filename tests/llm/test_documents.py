@@ -261,3 +261,17 @@ def test_pipeline(spark):
 
 def test_every_operator_is_registered():
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries()) == list(range(1, 11))
+
+
+def test_mix_over_many_buckets(spark, monkeypatch):
+    """Sources come near their targets also where the words run out in one of many buckets."""
+    monkeypatch.setattr(mixing, "BUCKET_DOCS", 5)
+    docs = spark.range(900).selectExpr(
+        "id doc_id", "repeat('w ', cast(1 + id * 7919 % 40 as int)) text", "if(id % 3 > 0, 'hot', concat('s', id % 4)) source"
+    )
+    rows = mixing.accounted(docs, F.array("source"), seed=2)
+    per_source = rows.groupBy("row.source").agg(
+        F.sum(F.col("size") * F.col("repeats")).alias("taken"), F.max("target").alias("target"), F.max("repeats").alias("most")
+    ).collect()
+    assert sum(r.target for r in per_source) == pytest.approx(rows.agg(F.sum("size")).first()[0])
+    assert all(abs(r.taken - r.target) <= 20 and r.most <= 3 for r in per_source)
