@@ -1,12 +1,19 @@
 """Quality rules whose cutoffs follow the corpus, from mergeable quantile sketches.
 
-A sketch is a histogram with buckets of bounded relative width (1/16) over whole numbers:
+A sketch is a histogram with buckets of bounded relative width (1/64) over whole numbers:
 one row per bucket with a count. Two sketches merge by adding counts, so each task builds
 its own and the shuffle adds them up; a hot language or source is a few hundred rows per
 task by then. Sketches exist per language and source. A source with fewer than
 ``min_group`` documents of a language takes the cutoffs of the merged sketches of that
 language instead.
 
+All cutoffs are quantiles, or multiples of their distances; no fixed value stands in one. Shares are mostly
+zero: beyond the 99th percentile and the fence of the quartiles they fail. Mean word length
+fails where it lies as far outside the middle four fifths of the texts as these are wide, the number of words
+only below. Symbols fail earlier, beyond the fence of the median and the
+90th percentile, if the words are also longer or shorter than in four fifths of the texts, so that a single sign in
+ordinary words is no reason.
+
 Only DataFrame functions are used. Nulls: a null text has no words, a null language or
 source is a group of its own. Texts of any length are measured whole. Equal rows are
 judged alike. An empty table gives an empty result. Further columns pass through
@@ -26,18 +33,20 @@ WINDOW = 5
 LEAST_WORDS = 10
 MOST_REPEATED_PERCENT = 20
 
-# The adaptive rules: each metric is a share in thousandths.
-METRICS = {"symbols": ("n_symbols", "n_chars"), "dup_lines": ("n_dup_lines", "n_lines")}
-FLOOR = {"symbols": 20, "dup_lines": 400}
+# The adaptive rules: shares and mean word length in thousandths, and the number of words.
+SHARES = {
+    "symbols": ("n_symbols", "n_chars"),
+    "dup_lines": ("n_dup_lines", "n_lines"),
+    "repeat_words": ("n_repeat_words", "n_words"),
+}
+METRICS = [*SHARES, "word_length", "n_words"]
+LEVELS = (10, 25, 50, 75, 90, 99)
 SPREAD = 3
 MIN_GROUP = 500
 
 
-def with_features(docs: DataFrame, text: str = "text", words: bool = True) -> DataFrame:
-    """``row`` (all columns of the documents) and the features of each text.
-
-    ``words=False`` leaves out what needs words, which takes most of the time.
-    """
+def with_features(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``row`` (all columns of the documents), the features and the metrics of each text."""
     rows = docs.select(packed(docs))
     t = F.coalesce(F.col(f"row.`{text}`"), F.lit(""))
     symbols = F.length(t) - F.length(F.translate(t, SYMBOLS, ""))
@@ -54,8 +63,10 @@ def with_features(docs: DataFrame, text: str = "text", words: bool = True) -> Da
             "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
         }
     )
-    rows = rows.withColumns({m: _thousandths(*parts) for m, parts in METRICS.items()})
-    return (_with_words(rows, t) if words else rows).drop("lines")
+    rows = _with_words(rows, t).drop("lines")
+    # As in keep_good: no filter and no metric works out the features again.
+    rows = rows.select(F.explode(F.array(F.struct("*"))).alias("all")).select("all.*")
+    return rows.withColumns({m: _thousandths(*parts) for m, parts in {**SHARES, "word_length": ("word_chars", "n_words")}.items()})
 
 
 def _thousandths(part: str, whole: str) -> Column:
@@ -103,16 +114,16 @@ def _with_words(rows: DataFrame, t: Column) -> DataFrame:
 
 
 def bucket(value: Column) -> Column:
-    """Bucket of a whole number from 0: itself under 32, then 16 buckets for each doubling."""
-    width = F.greatest(F.length(F.bin(value)) - 5, F.lit(0))
-    return (width * 16 + F.call_function("shiftright", value, width)).cast("long")
+    """Bucket of a whole number from 0: itself under 128, then 64 buckets for each doubling."""
+    width = F.greatest(F.length(F.bin(value)) - 7, F.lit(0))
+    return (width * 64 + F.call_function("shiftright", value, width)).cast("long")
 
 
 def bucket_floor(number: Column) -> Column:
     """The least value in a bucket."""
-    doublings = F.greatest((number / 16).cast("int") - 1, F.lit(0))
-    return F.when(number < 32, number).otherwise(
-        F.call_function("shiftleft", (number % 16 + 16).cast("long"), doublings)
+    doublings = F.greatest((number / 64).cast("int") - 1, F.lit(0))
+    return F.when(number < 128, number).otherwise(
+        F.call_function("shiftleft", (number % 64 + 64).cast("long"), doublings)
     )
 
 
@@ -132,43 +143,65 @@ def _key(name: str) -> Column:
 
 
 def merged(parts: DataFrame, keys: list[str]) -> DataFrame:
-    """Merge sketches and give the upper fence of each metric: ``total`` documents, ``fence``."""
+    """Merge sketches and give the quantiles of each metric: ``total`` documents, ``q10`` to ``q99``."""
     per_bucket = parts.groupBy(*keys, "metric", "bucket").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*keys, "metric")
     counted = per_bucket.withColumns(
         {"total": F.sum("n").over(group), "upto": F.sum("n").over(group.orderBy("bucket"))}
     )
-    quartile = lambda k: F.min(F.when(F.col("upto") * 4 >= F.col("total") * k, bucket_floor(F.col("bucket"))))
-    quartiles = counted.groupBy(*keys, "metric").agg(
-        F.max("total").alias("total"), quartile(1).alias("low"), quartile(3).alias("high")
+    quantile = lambda k: F.min(F.when(F.col("upto") * 100 >= F.col("total") * k, bucket_floor(F.col("bucket"))))
+    return counted.groupBy(*keys, "metric").agg(
+        F.max("total").alias("total"), *[quantile(k).alias(f"q{k}") for k in LEVELS]
+    )
+
+
+def fences(quantiles: DataFrame, keys: list[str]) -> DataFrame:
+    """``least_<metric>`` and ``most_<metric>`` of each group, and what is usual: ``usual_symbols``,
+    ``low_word_length``, ``high_word_length``. Ranges of lengths are ratios."""
+    q = {k: F.col(f"q{k}") for k in LEVELS}
+    low, high = F.greatest(q[10], F.lit(1)), F.greatest(q[90], F.lit(1))
+    found = {f"most_{m}": (m, F.greatest(q[99], q[75] + SPREAD * (q[75] - q[25]))) for m in SHARES}
+    found |= {
+        "usual_symbols": ("symbols", q[90] + SPREAD * (q[90] - q[50])),
+        "low_word_length": ("word_length", low),
+        "high_word_length": ("word_length", high),
+        "least_word_length": ("word_length", low * low / high),
+        "most_word_length": ("word_length", high * high / low),
+        "least_n_words": ("n_words", low * low / high),
+    }
+    return quantiles.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("metric") == m, fence)).cast("double").alias(name) for name, (m, fence) in found.items()]
     )
-    floor = F.coalesce(*[F.when(F.col("metric") == m, F.lit(v)) for m, v in FLOOR.items()])
-    fence = F.col("high") + SPREAD * (F.col("high") - F.col("low")) + floor
-    return quartiles.select(*keys, "metric", "total", fence.alias("fence"))
 
 
 def cutoffs(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """Cutoffs per language and source: ``lang_key``, ``source_key`` and ``most_<metric>``."""
-    parts = stored(sketches(with_features(docs, text, words=False), lang, source))
+    """Cutoffs per language and source: ``lang_key``, ``source_key`` and the columns of ``fences``."""
+    parts = stored(sketches(with_features(docs, text), lang, source))
     own = merged(parts, ["lang_key", "source_key"])
-    wide = merged(parts, ["lang_key"]).withColumnRenamed("fence", "wide").drop("total")
-    chosen = F.when(F.col("total") >= MIN_GROUP, F.col("fence")).otherwise(F.col("wide"))
-    most = [F.max(F.when(F.col("metric") == m, chosen)).alias(f"most_{m}") for m in METRICS]
-    return own.join(wide, ["lang_key", "metric"]).groupBy("lang_key", "source_key").agg(*most)
+    levels = [f"q{k}" for k in LEVELS]
+    wide = merged(parts, ["lang_key"]).drop("total").withColumnsRenamed({q: f"wide_{q}" for q in levels})
+    chosen = {q: F.when(F.col("total") >= MIN_GROUP, F.col(q)).otherwise(F.col(f"wide_{q}")) for q in levels}
+    return fences(own.join(wide, ["lang_key", "metric"]).withColumns(chosen), ["lang_key", "source_key"])
 
 
 def judged(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """``row``, the features, ``base_failed`` and ``kept`` of every document.
 
-    Kept are documents that pass the base rules and lie under all cutoffs of their group.
+    Kept are documents that pass the base rules and lie within all cutoffs of their group.
     """
     limits = stored(cutoffs(docs, text, lang, source))
     features = with_features(docs, text).withColumns({"lang_key": _key(lang), "source_key": _key(source)})
     rows = small_join(features, limits, ["lang_key", "source_key"], "left")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
-    within = F.lit(True)
+    odd_words = ~F.col("word_length").between(F.col("low_word_length"), F.col("high_word_length"))
+    out = (F.col("symbols") > F.col("usual_symbols")) & odd_words
     for m in METRICS:
-        within = within & F.coalesce(F.col(m) <= F.col(f"most_{m}"), F.lit(True))
+        if f"most_{m}" in limits.columns:
+            # Where fewer than one text in a hundred has any, having some is no reason by itself.
+            out = out | ((F.col(m) > F.col(f"most_{m}")) & ((F.col(f"most_{m}") > 0) | odd_words))
+        if f"least_{m}" in limits.columns:
+            out = out | (F.col(m) < F.col(f"least_{m}"))
+    within = ~F.coalesce(out, F.lit(False))
     return rows.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & within)
 
 

@@ -1,6 +1,7 @@
 """The operators on documents against brute force, on odd rows, on no rows and on the smallest tables."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -275,3 +276,18 @@ def test_mix_over_many_buckets(spark, monkeypatch):
     ).collect()
     assert sum(r.target for r in per_source) == pytest.approx(rows.agg(F.sum("size")).first()[0])
     assert all(abs(r.taken - r.target) <= 20 and r.most <= 3 for r in per_source)
+
+
+def _prose(seed, least=2, most=9, words=60):
+    draw = random.Random(seed)
+    return " ".join("".join(draw.choices("abcdefghij", k=draw.randint(least, most))) for _ in range(words))
+
+
+def test_cutoffs_follow_the_language(spark):
+    """Words four times as long are ordinary in one language and odd in the other, and a single sign is no reason to go."""
+    long = lambda i: _prose(i, 20, 29)
+    rows = [(i, _prose(i), "en", f"s{i % 4}") for i in range(300)] + [(1000 + i, long(i), "de", f"s{i % 4}") for i in range(300)]
+    rows += [(2000, long(7), "en", "s1"), (2001, _prose(8), "de", "s1"), (2002, _prose(5).replace(" ", " $ ", 1), "en", "s1")]
+    found = {r.doc_id: r.kept for r in quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).select("row.doc_id", "kept").collect()}
+    assert not found[2000] and not found[2001] and found[2002]
+    assert sum(found.values()) >= 580
