@@ -8,7 +8,7 @@ from all documents, but for documents that would lose all their words: those are
 copies, not pages with boilerplate, and stay as they are for a later near-duplicate step.
 
 A line is compared by its words, whatever the white space around them. Lines with fewer than
-``min_words`` words are short sentences, not boilerplate. Lines that stay keep their
+``min_words`` words are left out; the queries ask for 1, so that only lines without words are. Lines that stay keep their
 white space.
 
 Nulls: a null text stays null; a null site is a site of its own. Texts are split whole.
@@ -32,16 +32,16 @@ LG_REGISTERS = 10
 NEAR = 0.1
 
 
-def line_code(line: Column) -> Column:
-    """Hash of the words of a line; null if it has fewer than ``MIN_WORDS``."""
+def line_code(line: Column, min_words: int = MIN_WORDS) -> Column:
+    """Hash of the words of a line; null if it has fewer than ``min_words``."""
     spaced = F.btrim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))
-    enough = F.length(spaced) - F.length(F.replace(spaced, F.lit(" "), F.lit(""))) >= MIN_WORDS - 1
-    return F.when(enough, F.xxhash64(spaced))
+    enough = F.length(spaced) - F.length(F.replace(spaced, F.lit(" "), F.lit(""))) >= min_words - 1
+    return F.when(enough & (spaced != ""), F.xxhash64(spaced))
 
 
-def occurrences(docs: DataFrame, ident: str, text: str, site: str) -> DataFrame:
+def occurrences(docs: DataFrame, ident: str, text: str, site: str, min_words: int = MIN_WORDS) -> DataFrame:
     """``ident``, ``site`` and ``code`` of each line, once per document."""
-    codes = F.array_distinct(F.filter(F.transform(F.split(column(text), "\n"), line_code), lambda c: c.isNotNull()))
+    codes = F.array_distinct(F.filter(F.transform(F.split(column(text), "\n"), lambda line: line_code(line, min_words)), lambda c: c.isNotNull()))
     named = F.coalesce(F.concat(F.lit("+"), column(site).cast("string")), F.lit("-"))
     return docs.select(column(ident).alias("ident"), named.alias("site"), F.explode(codes).alias("code"))
 
@@ -62,19 +62,19 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     return sure.select("code").unionByName(exact.select("code"))
 
 
-def removals(docs: DataFrame, ident: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
+def removals(docs: DataFrame, ident: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES, min_words: int = MIN_WORDS) -> DataFrame:
     """``ident`` and the ``codes`` of the boilerplate lines it holds, for documents with any."""
-    lines = stored(occurrences(docs, ident, text, site))
+    lines = stored(occurrences(docs, ident, text, site, min_words))
     found = stored(boilerplate(lines, min_sites))
     return lines.join(found, "code").groupBy("ident").agg(F.collect_set("code").alias("codes"))
 
 
-def cleaned(docs: DataFrame, ident: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
+def cleaned(docs: DataFrame, ident: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES, min_words: int = MIN_WORDS) -> DataFrame:
     """``row`` (all columns), the ``clean`` text and ``n_removed``, the number of removed lines."""
-    lists = removals(docs, ident, text, site, min_sites)
+    lists = removals(docs, ident, text, site, min_sites, min_words)
     rows = docs.select(packed(docs), column(ident).alias("own"), column(text).alias("t"))
     rows = rows.join(lists, F.col("own").eqNullSafe(F.col("ident")), "left")
-    left = F.filter(F.split("t", "\n"), lambda line: ~F.coalesce(F.array_contains("codes", line_code(line)), F.lit(False)))
+    left = F.filter(F.split("t", "\n"), lambda line: ~F.coalesce(F.array_contains("codes", line_code(line, min_words)), F.lit(False)))
     rows = rows.withColumn("left", F.when(F.col("codes").isNotNull(), left))
     rows = rows.withColumn("short", F.array_join("left", "\n"))
     # A document without any words left is a whole copy.
@@ -88,7 +88,7 @@ def cleaned(docs: DataFrame, ident: str = "doc_id", text: str = "text", site: st
 
 def without_boilerplate(docs: DataFrame, ident: str = "doc_id", text: str = "text", site: str = "source") -> DataFrame:
     """The documents with their own columns and the clean text."""
-    rows = cleaned(docs, ident, text, site)
+    rows = cleaned(docs, ident, text, site, min_words=1)
     return rows.select(
         *[(F.col("clean") if c == text else F.col("row").getField(c)).alias(c) for c in docs.columns]
     )

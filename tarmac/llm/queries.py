@@ -81,7 +81,7 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
-    return lines.cleaned(docs).select("row.doc_id", F.col("clean").alias("text"), "n_removed")
+    return lines.cleaned(docs, min_words=1).select("row.doc_id", F.col("clean").alias("text"), "n_removed")
 
 
 def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -291,3 +291,9 @@ def test_cutoffs_follow_the_language(spark):
     found = {r.doc_id: r.kept for r in quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).select("row.doc_id", "kept").collect()}
     assert not found[2000] and not found[2001] and found[2002]
     assert sum(found.values()) >= 580
+
+
+def test_short_boilerplate_lines_go(spark):
+    rows = [(i, f"Own text number {i}.\n  \nRead more\nPrivacy", f"s{i}") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert {r.text for r in lines.without_boilerplate(docs).collect()} == {f"Own text number {i}.\n  " for i in range(12)}
