@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from tarmac import plans
 from tarmac.functions import aircraft_type, delay_minutes, model_label, seconds_of_day
 from tarmac.model import AIRCRAFTS, AIRLINES, FLIGHTS, RELATIONS
-from tarmac.operators import filters, joins, ranking
+from tarmac.operators import filters, frequent, joins, ranking
 from tarmac.sinks import tuple_lines, write_flights_by_year, write_tuple_text
+from tarmac.plans import totals
 from tarmac.sources import Star, read_parquet, read_relation, read_star
+from tarmac.sources.bucketed import join_in_buckets, read_in_buckets, write_dimension_in_buckets, write_flights_in_buckets
 from tarmac.sources.scratch import scratch_folder, write_csv_lines
 
 # The manufacturer, country and year the queries ask for.
@@ -43,22 +45,37 @@ def _listed_twice(s: Star) -> Star:
     return Star(s.flights, s.aircrafts.unionAll(s.aircrafts), s.airlines)
 
 
+def _used(s: Star) -> DataFrame:
+    """Airline and aircraft type of each flight."""
+    facts = joins.with_airline(s.flights.select("carrier_code", "tail_number"), s.airlines)
+    return joins.with_aircraft(facts, s.aircrafts).select("airline", "aircraft_type")
+
+
 def _delay_total(column: str) -> Callable[[Star], DataFrame]:
     return lambda s: plans.delay_totals(s.flights, s.airlines).select("airline", column)
 
 
-def _csv_scan(relation_name: str) -> Query:
+def _csv_scan(relation_name: str, header: bool = True) -> Query:
     """Write the relation as CSV with lines cut short and lines too long among them, and read it back."""
     relation = RELATIONS[relation_name]
 
     def build(spark: SparkSession, folder: str) -> DataFrame:
         path = scratch_folder(spark)
-        write_csv_lines(getattr(read_star(spark, folder), relation_name), relation, path)
-        return read_relation(spark, path, relation)
+        write_csv_lines(getattr(read_star(spark, folder), relation_name), relation, path, header)
+        return read_relation(spark, path, relation, header=header)
 
     return build
 
 
+def _quoted_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with all fields in quotes, and commas, quotes and line breaks in the countries."""
+    path = scratch_folder(spark)
+    airlines = read_star(spark, folder).airlines
+    country = F.concat("country", F.lit(',\n"'), "name", F.lit('"\n'))
+    write_csv_lines(airlines.withColumn("country", country), AIRLINES, path, header=False, quoted=True)
+    return read_relation(spark, path, AIRLINES, quoted=True, header=False)
+
+
 def _text_sink(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_folder(spark)
     write_tuple_text(_delays(read_star(spark, folder)), path, single_file=True)
@@ -71,6 +88,37 @@ def _partitioned_year(spark: SparkSession, folder: str) -> DataFrame:
     return filters.by_year(read_parquet(spark, path, FLIGHTS), YEAR).select(*FLIGHTS.columns)
 
 
+def _years_replaced(spark: SparkSession, folder: str) -> DataFrame:
+    """The table by year after one year came again without some of its flights."""
+    path = scratch_folder(spark)
+    flights = read_star(spark, folder).flights
+    write_flights_by_year(flights, path)
+    write_flights_by_year(filters.by_year(flights, YEAR).where("actual_departure <> ''"), path, replace="years")
+    return read_parquet(spark, path, FLIGHTS).select(*FLIGHTS.columns)
+
+
+def _in_buckets(key: str) -> Query:
+    def build(spark: SparkSession, folder: str) -> DataFrame:
+        s = read_star(spark, folder)
+        dimension = joins.aircraft_columns(s.aircrafts) if key == "tail_number" else joins.airline_columns(s.airlines)
+        facts, dims = scratch_folder(spark), scratch_folder(spark)
+        write_flights_in_buckets(s.flights, facts, key, buckets=16)
+        write_dimension_in_buckets(dimension, dims, read_in_buckets(spark, facts))
+        return join_in_buckets(read_in_buckets(spark, facts), read_in_buckets(spark, dims))
+
+    return build
+
+
+def _delay_of_states(spark: SparkSession, folder: str) -> DataFrame:
+    """Three deliveries of flights, one of them twice, and the report from their states."""
+    path = scratch_folder(spark)
+    s = read_star(spark, folder)
+    third = F.pmod(F.xxhash64(*s.flights.columns), F.lit(3))
+    for i in (0, 1, 2, 1):
+        totals.add_flights(s.flights.where(third == i), path, f"delivery-{i}")
+    return totals.departure_delay_of_states(totals.read_states(spark, path), s.aircrafts, s.airlines, YEAR, COUNTRY)
+
+
 def queries() -> dict[str, Query]:
     on_star: dict[str, Callable[[Star], DataFrame]] = {
         # Reports
@@ -78,6 +126,7 @@ def queries() -> dict[str, Query]:
         "departure_delay": _delays,
         "departure_delay_total_minutes": lambda s: _delays(s, minutes="total"),
         "departure_delay_semi_join": lambda s: _delays(s, known_aircraft="left_semi"),
+        "departure_delay_cancelled": lambda s: plans.departure_delay(*_dims(s), YEAR, COUNTRY, cancelled=True),
         # Aircrafts listed twice double their flights in an inner join and not in a semi join
         "departure_delay_listed_twice": lambda s: _delays(_listed_twice(s)),
         "departure_delay_listed_twice_semi": lambda s: _delays(_listed_twice(s), known_aircraft="left_semi"),
@@ -134,9 +183,8 @@ def queries() -> dict[str, Query]:
             plans.type_counts(*_dims(s)), "n", ["aircraft_type", "airline"], 20
         ),
         "airlines_by_name": lambda s: s.airlines.orderBy("name", "carrier_code"),
-        "approx_top_types": lambda s: ranking.approx_top_n(
-            plans.type_counts(*_dims(s)), "airline", "aircraft_type", 5, weight="n"
-        ),
+        # Read twice with bounded memory, not grouped
+        "approx_top_types": lambda s: frequent.approx_top_n(_used(s), "airline", "aircraft_type", 5).drop("sure"),
         # Text output
         "tuple_lines": lambda s: tuple_lines(plans.type_counts(*_dims(s))),
     }
@@ -144,8 +192,14 @@ def queries() -> dict[str, Query]:
         "csv_scan": _csv_scan(FLIGHTS.name),
         "csv_scan_aircrafts": _csv_scan(AIRCRAFTS.name),
         "csv_scan_airlines": _csv_scan(AIRLINES.name),
+        "csv_scan_no_header": _csv_scan(FLIGHTS.name, header=False),
+        "csv_scan_quoted": _quoted_scan,
         "text_sink": _text_sink,
         "flights_by_year_table": _partitioned_year,
+        "flights_by_year_replaced": _years_replaced,
+        "flights_with_aircraft_bucketed": _in_buckets("tail_number"),
+        "flights_with_airline_bucketed": _in_buckets("carrier_code"),
+        "departure_delay_of_states": _delay_of_states,
     }
 
 
@@ -225,6 +279,21 @@ where contains(country, '{COUNTRY}') and substr(flight_date, 1, 4) = '{YEAR}' an
 group by name"""
 
 
+_CANCELLED_SQL = f"""
+select name as airline, count(*) as cancelled_flights
+from timed join airlines using (carrier_code) join aircrafts using (tail_number)
+where contains(country, '{COUNTRY}') and substr(flight_date, 1, 4) = '{YEAR}'
+  and (scheduled_seconds is null or actual_seconds is null)
+group by name"""
+
+
+def _delay_and_cancelled_sql(join: str) -> str:
+    return f"""
+select airline, coalesce(delayed_flights, 0) as delayed_flights, avg_delay, min_delay, max_delay,
+       coalesce(cancelled_flights, 0) as cancelled_flights
+from ({_departure_delay_sql("of_hour")}) {join} join ({_TIMED_SQL}{_CANCELLED_SQL}) using (airline)"""
+
+
 def _ranked_sql(where: str = "", count: str = "count(*)") -> str:
     return _USED_SQL + f""",
 counted as (select airline, aircraft_type, {count} as n from used {where} group by airline, aircraft_type),
@@ -265,6 +334,8 @@ from flights join airlines using (carrier_code)"""
             "of_hour", "(select * from aircrafts union all select * from aircrafts)"
         ),
         "departure_delay_listed_twice_semi": departure_delay,
+        "departure_delay_cancelled": _delay_and_cancelled_sql("full"),
+        "departure_delay_of_states": _delay_and_cancelled_sql("left"),
         "popular_types_all": _popular_types_sql(),
         "popular_types_country": _popular_types_sql(in_country),
         "popular_types_distinct_tails": _popular_types_sql(count="count(distinct tail_number)"),
@@ -312,9 +383,16 @@ select '(' || airline || ',' || aircraft_type || ',' || n || ')' as line from co
         "csv_scan": RELATIONS_SQL + f"\n{_DATED_SQL}",
         "csv_scan_aircrafts": RELATIONS_SQL + "\nselect * from aircrafts",
         "csv_scan_airlines": RELATIONS_SQL + "\nselect * from airlines",
+        "csv_scan_no_header": RELATIONS_SQL + f"\n{_DATED_SQL}",
+        "csv_scan_quoted": RELATIONS_SQL + """
+select carrier_code, name, country || ',' || chr(10) || '"' || name || '"' || chr(10) as country from airlines""",
         "text_sink": f"""
 select '(' || airline || ',' || delayed_flights || ',' || avg_delay || ',' || min_delay || ',' || max_delay || ')'
          as line
 from ({departure_delay})""",
+        "flights_by_year_replaced": RELATIONS_SQL + f"""
+{_DATED_SQL} where substr(flight_date, 1, 4) <> '{YEAR}' or actual_departure <> ''""",
+        "flights_with_aircraft_bucketed": with_aircraft,
+        "flights_with_airline_bucketed": with_airline,
         "flights_by_year_table": RELATIONS_SQL + f"\n{_DATED_SQL} where substr(flight_date, 1, 4) = '{YEAR}'",
     }

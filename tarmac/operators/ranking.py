@@ -39,16 +39,3 @@ def ordered_list(ranked: DataFrame, group: str, name: str, into: str) -> DataFra
     return ranked.groupBy(group).agg(F.concat(F.lit("["), listed, F.lit("]")).alias(into))
 
 
-def approx_top_n(rows: DataFrame, group: str, name: str, n: int, weight: str | None = None) -> DataFrame:
-    """Top n names per group by number of rows: ``rank``, name, ``flights``.
-
-    Rows that stand for several have the number of these in the column ``weight``.
-
-    Every group gets n names, or all it has, whatever their number. A sketch of bounded
-    memory cannot promise that: it returns only names that it is sure of, and none at all
-    of a group whose many names are alike. Rows are counted per group and name in each
-    task and after the shuffle, so no memory grows with a group, and the counts are exact.
-    Equal counts are in alphabetical order.
-    """
-    counts = rows.groupBy(group, name).agg((F.sum(weight) if weight else F.count("*")).alias("flights"))
-    return top_n_per_group(counts, group, "flights", name, n).select(group, "rank", name, "flights")

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.functions import delay_minutes
+from tarmac.functions import delay_minutes, seconds_of_day
 from tarmac.operators.joins import fit_broadcast
 
 
@@ -49,14 +49,17 @@ def flight_count() -> Measure:
     return Measure(lambda rows: rows.withColumn("flights", F.col("weight")), sums=("flights",))
 
 
-def delay_statistics(minutes: str = "of_hour") -> Measure:
-    """``delayed_flights``, ``total_delay``, ``min_delay`` and ``max_delay`` of late flights.
+def delay_statistics(minutes: str = "of_hour", cancelled: bool = False) -> Measure:
+    """``delayed_flights``, ``total_delay``, ``min_delay`` and ``max_delay`` of late flights, and ``cancelled_flights`` if asked for.
 
     Flights that are not late stay in with null delays, which the aggregates pass over.
     """
 
     def derive(rows: DataFrame) -> DataFrame:
         delay = delay_minutes(F.col("scheduled_departure"), F.col("actual_departure"), minutes)
+        if cancelled:
+            unreadable = seconds_of_day(F.col("scheduled_departure")).isNull() | seconds_of_day(F.col("actual_departure")).isNull()
+            rows = rows.withColumn("cancelled_flights", F.when(unreadable, F.col("weight")))
         return rows.withColumn("delay", delay).withColumns(
             {
                 "delayed_flights": F.when(F.col("delay").isNotNull(), F.col("weight")),
@@ -66,7 +69,8 @@ def delay_statistics(minutes: str = "of_hour") -> Measure:
             }
         )
 
-    return Measure(derive, ("delayed_flights", "total_delay"), ("min_delay",), ("max_delay",))
+    sums = ("delayed_flights", "total_delay", *(["cancelled_flights"] if cancelled else []))
+    return Measure(derive, sums, ("min_delay",), ("max_delay",))
 
 
 def rollup(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions import aircraft_type, model_label
@@ -51,13 +51,16 @@ def delay_totals(
     facts = flights.select("carrier_code", "scheduled_departure", "actual_departure")
     carriers = airlines.select("carrier_code", F.col("name").alias("airline"))
     totals = rollup(facts, [Dimension(carriers, "carrier_code")], ["airline"], delay_statistics(minutes), limit)
-    return _with_average(totals)
+    return with_average(totals)
 
 
-def _with_average(totals: DataFrame) -> DataFrame:
+def with_average(totals: DataFrame) -> DataFrame:
     """Airlines with a delay, and the ``avg_delay`` in whole minutes."""
-    average = F.call_function("div", F.col("total_delay"), F.col("delayed_flights"))
-    return totals.where(F.col("delayed_flights") > 0).withColumn("avg_delay", average)
+    return totals.where(F.col("delayed_flights") > 0).withColumn("avg_delay", average_delay())
+
+
+def average_delay() -> Column:
+    return F.call_function("div", F.col("total_delay"), F.col("delayed_flights"))
 
 
 def departure_delay(
@@ -69,10 +72,14 @@ def departure_delay(
     minutes: str = "of_hour",
     known_aircraft: str = "inner",
     limit: int | None = None,
+    cancelled: bool = False,
 ) -> DataFrame:
     """Delays of one year per airline of one country, by airline name:
     ``airline, delayed_flights, avg_delay, min_delay, max_delay``.
 
+    ``cancelled`` adds ``cancelled_flights``, the flights of which a time cannot be read, counted in the same pass
+    over the flights; airlines with such flights and no delay are listed then, without delays.
+
     Carriers of the same name share a row; airlines without a delay have none. The average
     is cut to whole minutes. Only flights of listed aircraft count, once per listing, or
     once only with ``known_aircraft="left_semi"``.
@@ -85,9 +92,13 @@ def departure_delay(
     elif known_aircraft != "inner":
         raise ValueError(f"known_aircraft must be 'inner' or 'left_semi', not {known_aircraft!r}")
     dimensions = [Dimension(carriers, "carrier_code"), Dimension(tails, "tail_number")]
-    totals = rollup(facts, dimensions, ["airline"], delay_statistics(minutes), limit)
+    totals = rollup(facts, dimensions, ["airline"], delay_statistics(minutes, cancelled), limit)
     columns = ["airline", "delayed_flights", "avg_delay", "min_delay", "max_delay"]
-    return _with_average(totals).select(*columns).orderBy("airline")
+    if cancelled:
+        number = F.coalesce("cancelled_flights", F.lit(0)).alias("cancelled_flights")
+        listed = totals.where("delayed_flights > 0 or cancelled_flights > 0").withColumn("avg_delay", average_delay())
+        return listed.select(columns[0], F.coalesce(columns[1], F.lit(0)).alias(columns[1]), *columns[2:], number).orderBy("airline")
+    return with_average(totals).select(*columns).orderBy("airline")
 
 
 def type_counts(

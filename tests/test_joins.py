@@ -136,3 +136,56 @@ def test_flights_are_read_twice_at_most(spark, no_broadcast, tmp_path):
     # One reading for the hot keys (a job for each stage), one in the join.
     assert len(jobs) <= 2
     assert len([line for line in physical(joined).splitlines() if "FileScan parquet" in line]) == 1
+
+
+def output_sizes(spark, rows):
+    return [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+
+
+@pytest.mark.parametrize("equal", [False, True])
+def test_both_sides_hot(spark, no_broadcast, equal):
+    """A key with a third of the flights that is listed 10,000 times."""
+    f = spark.range(900).selectExpr("if(id % 3 = 0, 'HOT', concat('N', id % 30)) tail_number", "cast(id as string) flight")
+    d = spark.range(30).selectExpr("concat('N', id) tail_number", "'m' model").unionAll(
+        spark.range(10_000).selectExpr("'HOT'", "'same'" if equal else "cast(id as string)")
+    )
+    joined = joins.spread_join(f, d, "tail_number")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = output_sizes(spark, joins.spread_join(f, d, "tail_number"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(sizes) == 300 * 10_000 + 600
+    assert max(sizes) <= 2 * sum(sizes) / 8
+    plain = f.join(d, "tail_number")
+    total = lambda rows: rows.agg(F.count("*"), F.sum(F.xxhash64("tail_number", "flight", "model") % 1_000_003)).first()
+    assert tuple(total(joined)) == tuple(total(plain))
+
+
+def test_grids(spark, no_broadcast):
+    f = spark.range(8000).selectExpr("if(id % 2 = 0, 'HOT', concat('N', id)) tail_number")
+    once = spark.range(8000).selectExpr("concat('N', id) tail_number").unionAll(spark.sql("select 'HOT'"))
+    often = once.unionAll(spark.sql("select 'HOT' from range(999)"))
+    assert joins.hot_cells(f, once, "tail_number") == [("HOT", 16, 1)]
+    [(key, pieces, slices)] = joins.hot_cells(f, often, "tail_number")
+    assert key == "HOT" and slices > 1 and pieces >= 16 and pieces * slices >= 127
+    # Hot by what it is joined with alone.
+    rare = spark.range(8000).selectExpr("concat('N', id) tail_number")
+    listed = rare.unionAll(spark.sql("select 'N5' from range(100000)"))
+    [(key, pieces, slices)] = joins.hot_cells(rare, listed, "tail_number")
+    assert (key, pieces) == ("N5", 1) and slices > 100
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_no_column_name_clashes(spark, limit):
+    names = ["copies", "piece", "pieces", "slice", "row", "listing", "value", "n", "joined", "tail_number piece", "tail_number copies"]
+    columns = ["if(id % 3 = 0, 'N1', concat('N', id % 9)) tail_number", "'S1' carrier_code"]
+    f = spark.range(90).selectExpr(*columns, *[f"cast(id as string) `{n}`" for n in names], "'flights' model", "'f' country")
+    a = spark.range(9).selectExpr("concat('N', id) tail_number", "'M' manufacturer", "concat('m', id) model")
+    l = spark.sql("select 'S1' carrier_code, 'Air' name, 'X' country")
+    joined = joins.with_airline(joins.with_aircraft(f, a, limit=limit), l, limit=limit)
+    assert joined.columns == ["tail_number", "carrier_code", *names, "manufacturer", "model", "aircraft_type", "airline", "country"]
+    rows = joined.collect()
+    assert len(rows) == 90
+    assert all(r.model == f"m{r.tail_number[1:]}" and r.country == "X" and r.copies == r["tail_number piece"] for r in rows)
+    assert joins.with_aircraft(f, a, "left_semi", limit).columns == f.columns

@@ -36,32 +36,6 @@ def test_one_name_lists_alone(spark):
     assert tuples(ranking.ordered_list(rows, "g", "name", "names")) == [("Alpha", "[A B]")]
 
 
-def test_approx_top_n_is_exact(spark):
-    rows = spark.range(20_000).selectExpr("concat('g', id % 200) g", "concat('t', cast(sqrt(id) as int)) name")
-    exact = ranking.top_n_per_group(rows.groupBy("g", "name").agg(F.count("*").alias("n")), "g", "n", "name", 5)
-    approx = ranking.approx_top_n(rows, "g", "name", 5)
-    wanted = ["g", "rank"]
-    assert sorted(tuples(approx.select(*wanted, "flights"))) == sorted(tuples(exact.select(*wanted, "n")))
-
-
-def test_approx_top_n_finds_heavy_names_among_many(spark):
-    heavy = "case when id % 3 = 0 then 'first' when id % 3 = 1 and id % 2 = 0 then 'second' else concat('t', id) end"
-    rows = spark.range(30_000).selectExpr("'g' g", f"{heavy} name")
-    top = ranking.approx_top_n(rows, "g", "name", 2).orderBy("rank").collect()
-    assert [r.name for r in top] == ["first", "second"]
-    assert [r["rank"] for r in top] == [1, 2]
-    assert all(abs(r.flights - true) <= 30_000 / 16 for r, true in zip(top, (10_000, 5_000)))
-
-
-def test_approx_top_n_fills_groups_of_many_equal_names(spark):
-    equal = spark.range(200_000).selectExpr("'g' g", "concat('t', id % 20000) name")
-    heavy = spark.range(14).selectExpr("'g' g", "'heavy' name")
-    top = ranking.approx_top_n(equal.unionAll(heavy), "g", "name", 5).orderBy("rank").collect()
-    assert [(r.name, r.flights) for r in top] == [("heavy", 14), ("t0", 10), ("t1", 10), ("t10", 10), ("t100", 10)]
-    few = ranking.approx_top_n(heavy, "g", "name", 5).collect()
-    assert [tuple(r) for r in few] == [("g", 1, "heavy", 14)]
-
-
 def test_top_n_per_group_for_large_n(spark):
     rows = spark.range(40_000).selectExpr("concat('g', id % 2) g", "concat('t', id) name", "(id * 7919) % 977 n")
     top = ranking.top_n_per_group(rows, "g", "n", "name", 5000)
@@ -72,8 +46,3 @@ def test_top_n_per_group_for_large_n(spark):
         assert found == [(k, *pair) for k, pair in enumerate(best, 1)]
     assert physical(top).count("hashpartitioning(g") == 2
     assert "_pmod" in physical(top) or "pmod(" in physical(top)
-
-
-def test_approx_top_n_of_weighted_rows(spark):
-    rows = spark.createDataFrame([("g", "a", 2), ("g", "b", 3), ("g", "a", 2)], "g string, name string, n bigint")
-    assert sorted(tuples(ranking.approx_top_n(rows, "g", "name", 1, weight="n"))) == [("g", 1, "a", 4)]

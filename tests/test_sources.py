@@ -1,11 +1,12 @@
 import gzip
+import random
 
 import pytest
 
 from helpers import tuples
 from tarmac import columns_from_mask, read_relation
 from tarmac.model import AIRCRAFTS, AIRLINES, FLIGHTS, RELATIONS, Relation
-from tarmac.sources.relations import NO_SEPARATOR
+from tarmac.sources.lines import lines_below_headers, quoted_records
 from tarmac.sources.scratch import scratch_folder
 
 
@@ -148,8 +149,78 @@ def test_files_without_header_keep_their_first_line(spark, tmp_path):
     assert sorted(tuple(r) for r in read.collect()) == [("A1", "one", "X"), ("A2", "two", "Y")]
 
 
-def test_line_with_the_separator_is_kept_whole(spark, tmp_path):
-    odd = f"a{NO_SEPARATOR}b"
-    (tmp_path / "airlines.csv").write_text(f"code,name,country\nA1,{odd},X\nA2,two,{odd}\n")
-    read = read_relation(spark, str(tmp_path), AIRLINES)
-    assert sorted(tuple(r) for r in read.collect()) == [("A1", odd, "X"), ("A2", "two", odd)]
+ODD_LINES = [
+    "\0N1,x,y", "a\0b,\0,", "   ", "", "\t", "\x01\x02,\x01,\x1f", "h,h,h", "\ufeffq,w,e", '"', '""', "\ufffe,\uffff,x", "x\x0by,\x0c,\x85",
+    ",,", "é,ü,\U0001f600", "\\,\\n,'",
+]
+
+
+def in_splits(spark, size, build):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "16")
+    try:
+        rows = build()
+        return rows.rdd.getNumPartitions(), tuples(rows)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("size", ["7", "64", "1m"])
+@pytest.mark.parametrize("newline", ["\n", "\r\n", "\r"])
+def test_lines_are_those_of_a_line_by_line_reading(spark, tmp_path, size, newline):
+    files = {"a": ["h,h,h", *ODD_LINES], "b": ["", "h,h,h", *ODD_LINES * 3], "c": ["only"], "d": ["h,h,h", "h,h,h"], "e": ["  ", *ODD_LINES]}
+    for name, lines in files.items():
+        (tmp_path / f"{name}.csv").write_bytes(newline.join([*lines, ""]).encode())
+    (tmp_path / "f.csv").write_bytes(b"")
+    parts, found = in_splits(spark, size, lambda: lines_below_headers(spark, str(tmp_path)))
+    assert sorted(x for x, in found) == sorted(x for lines in files.values() for x in lines[1:])
+    assert parts > 5 or size == "1m"
+    # A column before the first comma is there in every line.
+    tails = in_splits(spark, size, lambda: read_relation(spark, str(tmp_path), AIRCRAFTS, ["tail_number"]))[1]
+    assert sorted(x for x, in tails) == sorted(x.split(",")[0] for lines in files.values() for x in lines[1:])
+
+
+def test_a_file_listed_twice_is_read_twice(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "h,h,h", "a,b,c")
+    assert tuples(read_relation(spark, [path, path], AIRLINES)) == [("a", "b", "c")] * 2
+
+
+def test_filters_do_not_move_below_the_header(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "header without commas", "a,b,c", "d,e,f")
+    assert tuples(read_relation(spark, path, AIRLINES).where("carrier_code > 'a'")) == [("d", "e", "f")]
+    assert read_relation(spark, path, AIRLINES).count() == 2
+
+
+def records(content, header):
+    """A reading by characters: quotes toggle, a line break outside of them ends a record."""
+    found, record, inside = [], "", False
+    for c in content:
+        inside ^= c == '"'
+        if c == "\n" and not inside:
+            found.append(record.removesuffix("\r"))
+            record = ""
+        else:
+            record += c
+    if record:
+        found.append(record.removesuffix("\n").removesuffix("\r") if inside else record.removesuffix("\r"))
+    return found[1:] if header else found
+
+
+@pytest.mark.parametrize("size", ["5", "40", "1m"])
+@pytest.mark.parametrize("header", [False, True])
+def test_quoted_records_over_line_breaks(spark, tmp_path, size, header):
+    draw = random.Random(7)
+    contents = ["".join(draw.choices('ab,"\n', weights=[5, 3, 3, 2, 3], k=n)) for n in (0, 1, 30, 200, 1500)]
+    contents += ['h,"h\nh"\na,"b\r\nc",d\r\n', 'x,"never closed\n\n\nto the end\n', '"' + "long\n" * 100 + '",z\nq', "\n\n"]
+    for i, content in enumerate(contents):
+        (tmp_path / f"{i}.csv").write_bytes(content.encode())
+    parts, found = in_splits(spark, size, lambda: quoted_records(spark, str(tmp_path), header))
+    assert sorted(x for x, in found) == sorted(r for content in contents for r in records(content, header))
+
+
+def test_quoted_fields_with_line_breaks(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "h,h,h", 'AA,"American,\nInc.",U', 'BB,"say ""hi""\n\n",x', "short,b", "c,d,e")
+    expected = [("AA", "American,\nInc.", "U"), ("BB", 'say "hi"\n\n', "x"), ("c", "d", "e")]
+    for size in ("9", "1m"):
+        assert sorted(in_splits(spark, size, lambda: read_relation(spark, path, AIRLINES, quoted=True))[1]) == expected
