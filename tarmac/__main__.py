@@ -36,6 +36,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         sub.add_argument("--quoted", action="store_true", help="CSV fields may be quoted")
         sub.add_argument("--no-header", action="store_true", help="CSV files have no header line")
         sub.add_argument("--several-files", action="store_true", help="write as many files as there are tasks")
+        sub.add_argument("--limit", type=int, help="broadcast dimensions up to so many bytes; 0 adds up flights before joining")
         sub.add_argument("--output", required=True)
         return sub
 
@@ -55,7 +56,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     types.add_argument("--n", type=int, default=5)
     types.add_argument("--measure", choices=["flights", "distinct_tails"], default="flights")
 
-    command("ingest-flights", "write flights as parquet in one folder per year", "flights")
+    ingest = command("ingest-flights", "write flights as parquet in one folder per year", "flights")
+    ingest.add_argument("--replace", choices=["table", "years"], default="table", help="what the flights replace")
     return parser.parse_args(argv)
 
 
@@ -69,18 +71,18 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
         return read_relation(spark, path, relation, columns, args.quoted, not args.no_header)
 
     if args.report == "ingest-flights":
-        write_flights_by_year(read(FLIGHTS), args.output)
+        write_flights_by_year(read(FLIGHTS), args.output, args.replace)
         return
     if args.report == "top-models":
-        result = top_models(read(FLIGHTS, TAIL), read(AIRCRAFTS), args.manufacturer, args.label, args.n)
+        result = top_models(read(FLIGHTS, TAIL), read(AIRCRAFTS), args.manufacturer, args.label, args.n, args.limit)
     elif args.report == "departure-delay":
         result = departure_delay(
             read(FLIGHTS), read(AIRCRAFTS, TAIL), read(AIRLINES), args.year, args.country, args.minutes,
-            args.known_aircraft,
+            args.known_aircraft, args.limit,
         )
     else:
         result = popular_types(
-            read(FLIGHTS, CARRIER_AND_TAIL), read(AIRCRAFTS), read(AIRLINES), args.country, args.n, args.measure
+            read(FLIGHTS, CARRIER_AND_TAIL), read(AIRCRAFTS), read(AIRLINES), args.country, args.n, args.measure, args.limit
         )
     order = [F.desc("flights"), F.asc("model")] if args.report == "top-models" else ["airline"]
     write_tuple_text(result, args.output, not args.several_files, order)

@@ -1,9 +1,9 @@
 """Joins of the flights with their dimensions, for dimensions of any size.
 
 A dimension is broadcast only after its size has been measured and found to be within a
-limit, by default the session's ``spark.sql.autoBroadcastJoinThreshold``. Spark's own
-check uses estimates that miss what a filter removes and that multiply up over joins; the
-measured one keeps the flights from being shuffled whenever that is safe. Beyond the
+limit, by default the session's ``spark.sql.autoBroadcastJoinThreshold``, or if Spark's estimate is an eighth of it
+or less. Spark's estimates miss what a filter removes and multiply up over joins; the
+measured size keeps the flights from being shuffled whenever that is safe. Beyond the
 limit the flights are shuffled: row by row with hot keys spread (:func:`with_dimension`),
 or, where only totals are wanted, after adding them up (:mod:`tarmac.operators.rollups`).
 """
@@ -27,6 +27,8 @@ COLUMN_BYTES = 16
 PIECES = 4
 # Cells of a hot key's grid for each partition that its joined rows fill.
 CELLS = 16
+# How far below the limit an estimate has to be, as files are smaller than the rows they hold.
+ESTIMATE_MARGIN = 8
 UNIT_SHIFT = {"": 0, "k": 10, "m": 20, "g": 30, "t": 40, "p": 50}
 
 
@@ -37,18 +39,31 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(number) << UNIT_SHIFT[unit]
 
 
+def estimated_small(dimension: DataFrame) -> bool:
+    """Whether Spark's own estimate, made of file sizes, is far below its broadcast limit.
+
+    Joining such a dimension needs neither measuring nor a hint: Spark broadcasts it by that estimate.
+    """
+    bytes_estimated = int(str(dimension._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return bytes_estimated * ESTIMATE_MARGIN <= broadcast_limit(dimension.sparkSession)
+
+
 def fit_broadcast(dimensions: list[DataFrame], limit: int | None = None) -> list[bool]:
     """Measure text dimensions in one job and tell which are within the limit.
 
-    Each is added up where it lies; one number per dimension reaches the driver.
+    Each is added up where it lies; one number per dimension reaches the driver. Without a ``limit`` of the
+    caller's, those that are :func:`estimated_small` are not measured; if all are, there is no job.
     """
     spark = dimensions[0].sparkSession
+    fits = [limit is None and estimated_small(d) for d in dimensions]
     limit = broadcast_limit(spark) if limit is None else limit
-    if limit <= 0:
-        return [False] * len(dimensions)
-    sizes = reduce(DataFrame.unionAll, [_measured(d, i) for i, d in enumerate(dimensions)])
-    measured = {row["i"]: row["bytes"] for row in sizes.collect()}
-    return [measured[i] <= limit for i in range(len(dimensions))]
+    unknown = [i for i, fit in enumerate(fits) if not fit]
+    if limit <= 0 or not unknown:
+        return fits
+    sizes = reduce(DataFrame.unionAll, [_measured(dimensions[i], i) for i in unknown])
+    for row in sizes.collect():
+        fits[row["i"]] = row["bytes"] <= limit
+    return fits
 
 
 def _measured(dimension: DataFrame, i: int) -> DataFrame:

@@ -39,13 +39,21 @@ def _clock(seconds: str) -> str:
     return f"substring(cast({moment} as string), 12, 8)"
 
 
-def read_star(spark: SparkSession, folder: str) -> Star:
-    """The three relations from ``lineitem``, ``part``, ``supplier`` and ``nation`` in a folder."""
+def read_star(spark: SparkSession, folder: str, year: str | None = None) -> Star:
+    """The three relations from ``lineitem``, ``part``, ``supplier`` and ``nation`` in a folder.
+
+    Flights of one year only, if that is given: a range of dates, which is tested where the parquet files are read,
+    as a test of the text made of a date cannot be.
+    """
 
     def table(name: str) -> DataFrame:
         return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
-    flights = table("lineitem").select(
+    items = table("lineitem")
+    if year is not None:
+        first, end = (F.lit(f"{y}-01-01").cast("timestamp_ntz") for y in (year, f"{int(year) + 1:04d}"))
+        items = items.where((F.col("l_shipdate") >= first) & (F.col("l_shipdate") < end))
+    flights = items.select(
         F.expr("concat('S', cast(l_suppkey as string))").alias("carrier_code"),
         F.col("l_shipdate").cast("date").cast("string").alias("flight_date"),
         F.expr("concat('N', cast(l_partkey as string))").alias("tail_number"),

@@ -58,6 +58,16 @@ def test_ingested_flights(spark, files, tmp_path):
     assert part.read_text().splitlines() == ["(Alpha,2,17,15,20)"]
 
 
+def test_limit_and_replaced_years(spark, files, tmp_path):
+    assert output(spark, files, tmp_path, "popular-types", "--limit", "0", "--country", "Canada") == ["(Beta,[CESSNA 172N])"]
+    target = ["--output", str(tmp_path / "flights")]
+    run(spark, ["ingest-flights", "--flights", str(files / "flights.csv"), *target])
+    (tmp_path / "more.csv").write_text("h\n9,CC,-,2004-05-05,-,-,N1,10:00:00,-,10:05:00\n")
+    run(spark, ["ingest-flights", "--flights", str(tmp_path / "more.csv"), "--replace", "years", *target])
+    rows = spark.read.parquet(str(tmp_path / "flights")).select("carrier_code", "flight_date").collect()
+    assert sorted(map(tuple, rows)) == [("BB", "2003-01-03"), ("CC", "2004-05-05")]
+
+
 def test_year_is_required(spark, files, tmp_path):
     with pytest.raises(SystemExit):
         output(spark, files, tmp_path, "departure-delay")

@@ -189,3 +189,25 @@ def test_no_column_name_clashes(spark, limit):
     assert len(rows) == 90
     assert all(r.model == f"m{r.tail_number[1:]}" and r.country == "X" and r.copies == r["tail_number piece"] for r in rows)
     assert joins.with_aircraft(f, a, "left_semi", limit).columns == f.columns
+
+
+def jobs_of(spark, name, run):
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        return run(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_only_what_spark_does_not_know_to_be_small_is_measured(spark, tmp_path):
+    spark.range(500).selectExpr("concat('N', id) tail_number").write.parquet(str(tmp_path / "d"))
+    d = spark.read.parquet(str(tmp_path / "d"))
+    assert jobs_of(spark, "files", lambda: joins.fit_broadcast([d, d])) == ([True, True], 0)
+    # The estimate of a join is a product; a limit of the caller's is always held against the measured size.
+    other, third = (d.withColumnRenamed("tail_number", name) for name in ("other", "third"))
+    product = d.join(other, F.col("tail_number") == F.col("other")).join(third, F.col("third") == F.col("other"))
+    fits, jobs = jobs_of(spark, "join", lambda: joins.fit_broadcast([d, product.select("tail_number")]))
+    assert fits == [True, True] and jobs > 0
+    fits, jobs = jobs_of(spark, "limit", lambda: joins.fit_broadcast([d], limit=1000))
+    assert fits == [False] and jobs > 0
+    assert joins.fit_broadcast([d], limit=10**6) == [True] and joins.fit_broadcast([d], limit=0) == [False]

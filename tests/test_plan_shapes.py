@@ -102,3 +102,15 @@ def test_generated_code_stays_compilable(spark, tables):
                 assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) < 8000
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+@pytest.mark.parametrize("name", ["departure_delay", "year_filter", "departure_delay_shuffled"])
+def test_a_year_reaches_the_scan_of_the_star(spark, name):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = physical(catalog.queries()[name](spark, FOLDER))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    [scan] = [line for line in plan.splitlines() if "lineitem" in line]
+    pushed = scan[scan.index("PushedFilters") :]
+    assert "GreaterThanOrEqual(l_shipdate,1998-01-01" in pushed and "LessThan(l_shipdate,1999-01-01" in pushed
