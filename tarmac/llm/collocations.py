@@ -3,19 +3,20 @@
 Texts are cut into pieces and words once and written as chunks: the different words of some texts
 of one language, and the place of each word of the text in that list. All counting reads these chunks.
 
-Phrases grow by a word a level. A phrase can be frequent only if the two phrases that are a word
-shorter are; frequent phrases of the level before are put into double-array tries, and numpy takes
-all positions of a chunk through a trie at once, a word a step. Where both shorter phrases stand,
-three readings follow:
+Phrases grow by a word a level, from single words on. Double-array tries of the candidates of a level are broadcast, and numpy takes
+all positions of a chunk through a trie at once, a word a step. Each level takes two readings:
 
-1. ``bucket_counts``: the longer phrases are counted in hashed buckets, summed by Spark. A phrase in a bucket below
-   the least count is ruled out. The buckets are a set of bits of fixed size.
-2. ``proposed``: phrases that are left are candidates, each once.
-3. ``counted``: double-array tries of the candidates are broadcast, accepting states are counted by ``bincount``
-   in each task, and Spark adds the tasks up.
+1. ``counted``: accepting states are counted by ``bincount`` in each task, and Spark adds the tasks up. In the same
+   reading, phrases of one word more are counted in hashed buckets, where both shorter phrases are candidates.
+   A phrase can be frequent only if the two phrases that are a word shorter are, and if its bucket is.
+2. ``proposed``: where both shorter phrases turned out to be frequent, phrases in frequent buckets are the candidates of the next
+   level, each once.
+
+The first candidates are words in frequent buckets. Buckets only save work: they are a set of ``MOST_BUCKETS`` bits at most, and where a
+corpus is so large that all fill, nothing is ruled out by them and nothing is lost.
 
 A trie holds ``MOST_PHRASES`` phrases and ``MOST_BYTES`` bytes at most; beyond that phrases are dealt out by hash
-to several tries, one reading each, so that what is broadcast does not grow with the corpus.
+to several tries, two readings each, so that what is broadcast does not grow with the corpus.
 With several tries a position knows only the front of the two shorter phrases; the rear one is checked by a join.
 
 Scores: see :func:`scored`. All counts are whole numbers; products are decimals of 38 digits, enough for 10^15 words.
@@ -29,9 +30,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
+from zlib import crc32
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
@@ -39,6 +40,7 @@ from pyspark.sql import functions as F
 
 from tarmac.llm.common import column, stored
 from tarmac.llm.cuts import byte_classes, cut
+from tarmac.operators.joins import shuffle_partitions
 
 # What parts words and pieces, the name of no language, and the longest phrase.
 BLANKS = b"\x20\x09"
@@ -46,18 +48,32 @@ BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 NO_LANGUAGE = "und"
 LONGEST = 5
 
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000
 MOST_PHRASES = 1_000_000
 MOST_BYTES = 64_000_000
-BUCKETS = 1 << 22
+FEW_WORDS = 0xFFFF
+LEAST_BUCKETS = 1 << 16
+MOST_BUCKETS = 1 << 24
+WORDS_A_BUCKET = 32
+BLOCK = 1 << 15
 PIECES = 64
 
 
 # Chunks
 
 
+@dataclass(frozen=True)
+class Chunk:
+    """Different words with a hash of each, and the words of some texts as places in them, -1 before each piece."""
+
+    lang: str
+    words: pa.Array
+    hashes: np.ndarray
+    codes: np.ndarray
+
+
 def chunks(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """``lang``, the different ``words`` of some texts and their ``codes``: places in ``words``, -1 before each piece."""
+    """Chunks as rows. ``words`` is one text with a line for each word, as no word holds a line break."""
     classes = byte_classes(blank=BLANKS, breaks=BREAKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,41 +88,36 @@ def chunks(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
                     stop = min(len(texts), int(np.searchsorted(upto, before + CHUNK_BYTES)) + 1)
                     found = cut(texts.slice(start, stop - start), classes)
                     start = stop
-                    if not len(found.words):
+                    n = len(found.words)
+                    if not n:
                         continue
                     coded = found.words.dictionary_encode()
-                    codes = np.full(len(found.words) + int(found.first.sum()), -1, np.int32)
-                    codes[np.arange(len(found.words)) + np.cumsum(found.first)] = coded.indices.to_numpy()
-                    words = pa.array([coded.dictionary.cast(pa.string())], pa.list_(pa.string()))
-                    yield pa.RecordBatch.from_arrays([pa.array([name]), words, pa.array([codes.tobytes()])], ["lang", "words", "codes"])
+                    # Short numbers where they do; the highest is -1.
+                    codes = np.full(n + int(found.first.sum()), -1, np.int32 if len(coded.dictionary) >= FEW_WORDS else np.int16)
+                    codes[np.arange(n) + np.cumsum(found.first)] = coded.indices.to_numpy().astype(codes.dtype)
+                    words = coded.dictionary.cast(pa.large_binary()).to_pylist()
+                    hashes = np.array([crc32(w) for w in words], np.uint32)
+                    row = [[name], [b"".join(w + b"\n" for w in words).decode()], [hashes.tobytes()], [codes.tobytes()], [n]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in row], ["lang", "words", "hashes", "codes", "n"])
 
     rows = docs.select(column(text).cast("string").alias("text"), F.coalesce(column(lang).cast("string"), F.lit(NO_LANGUAGE)).alias("lang"))
-    return rows.mapInArrow(run, "lang string, words array<string>, codes binary")
-
-
-@dataclass(frozen=True)
-class Chunk:
-    lang: str
-    words: pa.Array
-    codes: np.ndarray
+    return rows.mapInArrow(run, "lang string, words string, hashes binary, codes binary, n long")
 
 
 def read_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
     for batch in batches:
-        words, codes = batch.column("words"), batch.column("codes")
-        for i, lang in enumerate(batch.column("lang").to_pylist()):
-            yield Chunk(lang, words[i].values, np.frombuffer(codes[i].as_py(), np.int32))
-
-
-def word_counts(texts: DataFrame) -> DataFrame:
-    """``lang``, ``phrase`` (a word) and ``f`` of all words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in read_chunks(batches):
-            n = np.bincount(c.codes[c.codes >= 0], minlength=len(c.words))
-            yield pa.RecordBatch.from_arrays([pa.repeat(c.lang, len(n)), c.words, pa.array(n)], ["lang", "phrase", "f"])
-
-    return texts.mapInArrow(run, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+        for i in range(batch.num_rows):
+            lang, text, hashes, codes = (batch.column(c)[i] for c in ("lang", "words", "hashes", "codes"))
+            data = np.frombuffer(text.as_buffer(), np.uint8)
+            ends = np.flatnonzero(data == 10)
+            offsets = np.concatenate([[0], ends - np.arange(len(ends))]).astype(np.int32)
+            words = pa.StringArray.from_buffers(len(ends), pa.py_buffer(offsets), pa.py_buffer(data[data != 10]))
+            if len(ends) >= FEW_WORDS:
+                places = np.frombuffer(codes.as_buffer(), np.int32)
+            else:
+                places = np.frombuffer(codes.as_buffer(), np.uint16).astype(np.int32)
+                places[places == FEW_WORDS] = -1
+            yield Chunk(lang.as_py(), words, np.frombuffer(hashes.as_buffer(), np.uint32), places)
 
 
 # Tries
@@ -116,7 +127,8 @@ def word_counts(texts: DataFrame) -> DataFrame:
 class Trie:
     """A double array: the child of state ``s`` by symbol ``c`` is ``t = base[s] + c`` if ``check[t] == s``.
 
-    The first symbol of a phrase is its language, the others its words. All phrases have ``depth`` words.
+    The first symbol of a phrase is its language. A word is two symbols, its place in ``words`` divided by ``radix`` and the
+    rest, so that no state has more than ``radix`` children and the array is filled well. All phrases have ``depth`` words.
     """
 
     base: np.ndarray
@@ -125,17 +137,23 @@ class Trie:
     words: pa.Array
     langs: dict[str, int]
     depth: int
+    radix: int
 
     def walk(self, c: Chunk) -> tuple[np.ndarray, np.ndarray]:
         """Positions at which a phrase stands, and the states that accept there."""
         at = np.zeros(0, np.int64)
         if c.lang not in self.langs:
             return at, at
-        symbols = np.append(pc.fill_null(pc.index_in(c.words, self.words), -1).to_numpy(zero_copy_only=False), -1)[c.codes]
-        at = np.flatnonzero(symbols[: max(0, len(symbols) - self.depth + 1)] >= 0)
-        state = np.full(len(at), self.base[0] + self.langs[c.lang], np.int64)
-        for step in range(self.depth):
-            to = np.clip(self.base[state] + symbols[at + step], 0, len(self.check) - 1)
+        places = np.append(pc.fill_null(pc.index_in(c.words, self.words), -1).to_numpy(zero_copy_only=False), -1).astype(np.int32)
+        # A word that is not in the trie leads to the place behind the array, which is nobody's child.
+        beyond = np.int32(len(self.check))
+        high = np.where(places < 0, beyond, places // self.radix)[c.codes]
+        low = np.where(places < 0, 0, places % self.radix)[c.codes]
+        at = np.flatnonzero(high[: max(0, len(high) - self.depth + 1)] < beyond)
+        state = np.full(len(at), self.base[0] + self.langs[c.lang], np.int32)
+        for step in range(2 * self.depth):
+            symbol = (low if step % 2 else high)[at + step // 2]
+            to = np.minimum(self.base[state] + symbol, beyond - 1)
             found = self.check[to] == state
             at, state = at[found], to[found]
         return at, state
@@ -146,62 +164,76 @@ def double_array(langs: list[str], phrases: list[list[str]]) -> Trie:
     depth = len(phrases[0])
     flat = pa.array([w for p in phrases for w in p], pa.string()).dictionary_encode()
     names = {name: i for i, name in enumerate(sorted(set(langs)))}
-    symbols = np.column_stack([np.array([names[x] for x in langs]), flat.indices.to_numpy().reshape(-1, depth)]).astype(np.int64)
-    most = int(symbols.max()) + 1
+    radix = int(np.ceil(max(1, len(flat.dictionary)) ** 0.5)) + 1
+    places = flat.indices.to_numpy().reshape(-1, depth).astype(np.int64)
+    symbols = [np.array([names[x] for x in langs])]
+    for j in range(depth):
+        symbols += np.divmod(places[:, j], radix)
+    most = max(radix, len(names))
     # Nodes level by level: parent and symbol of each; node 0 is the root.
-    parents, labels, node, n = [np.array([-1])], [np.array([0])], np.zeros(len(phrases), np.int64), 1
-    for level in range(depth + 1):
-        keys, place = np.unique(node * most + symbols[:, level], return_inverse=True)
+    parents, labels, node, n = [np.array([0])], [np.array([0])], np.zeros(len(phrases), np.int64), 1
+    for symbol in symbols:
+        keys, place = np.unique(node * most + symbol, return_inverse=True)
         parents.append(keys // most)
         labels.append(keys % most)
         node = place + n
         n += len(keys)
     parent, label = np.concatenate(parents), np.concatenate(labels)
-    order = np.argsort(parent[1:], kind="stable") + 1
-    owner, first, size = np.unique(parent[order], return_index=True, return_counts=True)
-
-    used = np.zeros(4 * n + 2 * most + 64, bool)
-    used[0] = True
-    base, slot = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    start: dict[int, int] = {}  # by size of node, roughly: where the last one was placed
-    for g in np.argsort(-size, kind="stable"):
-        if size[g] == 1:
-            break
-        children = order[first[g] : first[g] + size[g]]
-        places = label[children] - label[children[0]]
-        kind = int(size[g]).bit_length()
-        at = start.get(kind, 1)
-        while True:
-            if at + 64 + places[-1] >= len(used):
-                used = np.append(used, np.zeros(len(used), bool))
-            fits = ~used[np.arange(at, at + 64)[:, None] + places].any(axis=1)
-            if fits.any():
-                at += int(np.argmax(fits))
-                break
-            at += 64
-        start[kind] = at
-        used[at + places] = True
-        base[owner[g]] = at - label[children[0]]
-        slot[children] = at + places
-    # Single children fill the gaps.
-    alone = size == 1
-    child = order[first[alone]]
-    free = np.flatnonzero(~used)[: len(child)]
-    if len(free) < len(child):
-        free = np.append(free, np.arange(len(used), len(used) + len(child) - len(free)))
-    base[owner[alone]] = free - label[child]
-    slot[child] = free
-    # The last place stays empty, so that steps beyond the end find nothing.
-    length = int(slot.max()) + 2
+    base, slot, length = _placed(parent, label, most)
     check, bases, leaf = np.full(length, -1, np.int32), np.zeros(length, np.int32), np.full(length, -1, np.int32)
     bases[slot] = base
     check[slot[1:]] = slot[parent[1:]]
     leaf[slot[node]] = np.arange(len(phrases))
-    return Trie(bases, check, leaf, flat.dictionary, names, depth)
+    return Trie(bases, check, leaf, flat.dictionary, names, depth, radix)
 
 
-def tries(phrases: DataFrame) -> Iterator[tuple[Trie, pa.Array, bool]]:
-    """Tries of a stored table of ``lang`` and ``phrase``, the phrases as text, and whether it is the only one."""
+def _placed(parent: np.ndarray, label: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The base and the slot of each node, and the length of the array, in which any base and symbol stay.
+
+    Children are in the order of their parents. Nodes of like numbers of children, largest first, are all put at drawn bases
+    at once; those that meet no slot in use and no other stay, the rest are drawn again. Nodes of one child take what is free.
+    """
+    n = len(parent)
+    owner, first, size = np.unique(parent[1:], return_index=True, return_counts=True)
+    first += 1
+    draw = np.random.default_rng(1)
+    used = np.zeros(n + n // 2 + 4 * most, bool)
+    used[0] = True
+    base, slot = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    kind = np.where(size > 1, np.ceil(np.log2(size)), 0).astype(int)
+    claims, poor = np.empty(len(used), np.int32), 0
+    for k in sorted(set(kind[kind > 0].tolist()), reverse=True):
+        left = np.flatnonzero(kind == k)
+        while len(left):
+            number = size[left]
+            children = np.repeat(first[left] - np.cumsum(number) + number, number) + np.arange(number.sum())
+            of = np.repeat(np.arange(len(left)), number)
+            at = draw.integers(1, len(used) - most, len(left))
+            slots = at[of] + label[children]
+            claims[slots] = of
+            bad = np.zeros(len(left), bool)
+            bad[of[used[slots] | (claims[slots] != of)]] = True
+            good = ~bad[of]
+            used[slots[good]] = True
+            slot[children[good]] = slots[good]
+            base[owner[left[~bad]]] = at[~bad]
+            poor = poor + 1 if bad.mean() > 0.9 else 0
+            if poor == 8:
+                used, poor = np.append(used, np.zeros(len(used) // 4, bool)), 0
+                claims = np.empty(len(used), np.int32)
+            left = left[bad]
+    alone = np.flatnonzero(kind == 0)
+    children = first[alone]
+    # From the back of the free slots a base is never below zero.
+    free = np.flatnonzero(~used[most:])[: len(alone)] + most
+    free = np.append(free, np.arange(len(used), len(used) + len(alone) - len(free)))
+    slot[children] = free
+    base[owner[alone]] = free - label[children]
+    return base, slot, max(len(used), int(slot.max()) + 1) + most
+
+
+def tries(phrases: DataFrame) -> Iterator[tuple[tuple[Trie, pa.Array, pa.Array], bool]]:
+    """Tries of a stored table of ``lang`` and ``phrase``, with the phrases and languages of their leaves, and whether it is the only one."""
     size = phrases.agg(F.count("*").alias("n"), F.sum(F.octet_length("phrase") + F.octet_length("lang")).alias("bytes")).first()
     if not size["n"]:
         return
@@ -210,138 +242,167 @@ def tries(phrases: DataFrame) -> Iterator[tuple[Trie, pa.Array, bool]]:
     for part in range(parts):
         some = dealt.where(F.col("part") == part).select("lang", "phrase").toArrow()
         if some.num_rows:
-            texts = some["phrase"].combine_chunks()
-            words = [p.split(" ") for p in texts.to_pylist()]
-            yield double_array(some["lang"].to_pylist(), words), texts, parts == 1
+            texts, langs = some["phrase"].combine_chunks(), some["lang"].combine_chunks()
+            yield (double_array(langs.to_pylist(), [p.split(" ") for p in texts.to_pylist()]), texts, langs), parts == 1
 
 
 # Levels
 
 
-def longer(c: Chunk, trie: Trie, only: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Positions of phrases of one word more than the trie's whose two shorter phrases stand there, state and bucket of each."""
-    at, state = trie.walk(c)
-    after = np.append(c.codes, -1)[at + trie.depth]
-    safe = after >= 0
-    if only:
-        here = np.zeros(len(c.codes) + 1, bool)
-        here[at] = True
-        safe &= here[at + 1]
-    at, state, after = at[safe], state[safe], after[safe]
-    hashes = pd.util.hash_array(c.words.to_numpy(zero_copy_only=False)) if len(at) else np.zeros(0, np.uint64)
-    mixed = (hashes[after] ^ (state.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93)
-    return at, state, (mixed >> np.uint64(42)).astype(np.int64)
-
+def longer(
+    c: Chunk, trie: Trie | None, only: bool, buckets: int, at: np.ndarray, state: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of positions at which phrases of the trie stand, and their states: those of phrases of one word more whose two shorter phrases
+    stand there, state and bucket of each. Without a trie these are all words."""
+    if trie is None:
+        at = np.flatnonzero(c.codes >= 0)
+        state, after = np.zeros(len(at), np.int32), c.codes[at]
+    else:
+        after = np.append(c.codes, np.int32(-1))[at + trie.depth]
+        good = after >= 0
+        if only:
+            here = np.zeros(len(c.codes) + 1, bool)
+            here[at] = True
+            good &= here[at + 1]
+        at, state, after = at[good], state[good], after[good]
+    language = np.uint64(crc32(c.lang.encode()))
+    mixed = c.hashes[after].astype(np.uint64) ^ ((state.astype(np.uint64) + language) * np.uint64(0x9E3779B97F4A7C15))
+    mixed *= np.uint64(0xD6E8FEB86659FD93)
+    return at, state, (mixed >> np.uint64(65 - buckets.bit_length())).astype(np.int32)
+
+
+COUNTS, BITS = 0, 1
+
+
+def counted(texts: DataFrame, shared, only: bool, buckets: int, least: int) -> DataFrame:
+    """``lang``, ``phrase``, its number ``leaf`` in the trie and ``f``, of the trie's phrases that stand ``least`` times or more;
+    and ``block`` and ``bits`` of the buckets to which as many phrases of one word more are hashed, if there are ``buckets``."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie, phrases, _ = shared.value
+        leaves, hashed = np.zeros(len(phrases), np.int64), np.zeros(buckets, np.int32)
+        for c in read_chunks(batches):
+            at, state = trie.walk(c) if trie else (None, None)
+            if trie:
+                leaves += np.bincount(trie.leaf[state], minlength=len(leaves))
+            if buckets:
+                place, n = np.unique(longer(c, trie, only, buckets, at, state)[2], return_counts=True)
+                # Beyond the least count it does not matter how far.
+                hashed[place] = np.minimum(hashed[place] + n, least)
+        for kind, total in ((COUNTS, leaves), (BITS, hashed.astype(np.uint8 if least < 256 else np.int32))):
+            some = np.flatnonzero(np.add.reduceat(total != 0, np.arange(0, len(total), BLOCK))) if len(total) else []
+            for k in range(0, len(some), 32):
+                part = some[k : k + 32]
+                # Most counts of a task are small, so they pack well.
+                packed = [pa.compress(total[b * BLOCK : (b + 1) * BLOCK].tobytes(), "zstd", asbytes=True) for b in part.tolist()]
+                counts = pa.array(packed, pa.binary())
+                kinds = pa.array(np.full(len(part), kind, np.int32))
+                yield pa.RecordBatch.from_arrays([kinds, pa.array(part, pa.int64()), counts], ["kind", "block", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie, phrases, langs = shared.value
+        total: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            for kind, block, counts in zip(batch.column("kind").to_pylist(), batch.column("block").to_pylist(), batch.column("counts")):
+                small = np.dtype(np.int64 if kind == COUNTS else np.uint8 if least < 256 else np.int32)
+                size = min(BLOCK, (len(phrases) if kind == COUNTS else buckets) - block * BLOCK) * small.itemsize
+                n = np.frombuffer(pa.decompress(counts.as_buffer(), size, "zstd", asbytes=True), small).astype(np.int64)
+                total[kind, block] = total[kind, block] + n if (kind, block) in total else n
+        for (kind, block), n in total.items():
+            some = np.flatnonzero(n >= least)
+            if not len(some):
+                continue
+            if kind == BITS:
+                row = [[None], [None], [None], [None], [block], [np.packbits(n >= least).tobytes()]]
+            else:
+                leaf = some + block * BLOCK
+                none = pa.nulls(len(leaf))
+                row = [langs.take(pa.array(leaf)), phrases.take(pa.array(leaf)), leaf, n[some], none, none]
+            yield pa.RecordBatch.from_arrays([pa.array(v).cast(f.type) for v, f in zip(row, FOUND)], schema=FOUND)
 
-def bucket_counts(texts: DataFrame, shared, only: bool) -> DataFrame:
-    """``bucket`` and ``f``, the number of longer phrases hashed to it. Each task adds up its chunks first."""
+    rows = texts.mapInArrow(count, "kind int, block long, counts binary")
+    rows = rows.repartition(shuffle_partitions(texts.sparkSession), "kind", "block")
+    return rows.mapInArrow(add, "lang string, phrase string, leaf long, f long, block long, bits binary")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS, np.int64)
-        for c in read_chunks(batches):
-            _, _, bucket = longer(c, shared.value, only)
-            np.add(total, np.bincount(bucket, minlength=BUCKETS), out=total)
-        some = np.flatnonzero(total)
-        for k in range(0, len(some), 500_000):
-            part = some[k : k + 500_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], ["bucket", "f"])
 
-    return texts.mapInArrow(run, "bucket long, f long").groupBy("bucket").agg(F.sum("f").alias("f"))
+FOUND = pa.schema(
+    [("lang", pa.string()), ("phrase", pa.string()), ("leaf", pa.int64()), ("f", pa.int64()), ("block", pa.int64()), ("bits", pa.binary())]
+)
 
 
-def proposed(texts: DataFrame, shared, safe, only: bool) -> DataFrame:
-    """``lang`` and ``phrase`` of longer phrases in safe buckets, once for each chunk."""
+def proposed(texts: DataFrame, shared, known, only: bool, buckets: int) -> DataFrame:
+    """``lang`` and ``phrase`` of phrases of one word more than the trie's that may be frequent, each once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(safe.value)
+        trie, often, bits = shared.value[0], *known.value
+        bits = np.unpackbits(bits).view(bool)
+        depth = trie.depth if trie else 0
         for c in read_chunks(batches):
-            trie = shared.value
-            at, state, bucket = longer(c, trie, only)
-            at, state = at[bits[bucket] == 1], state[bits[bucket] == 1]
+            at, state = trie.walk(c) if trie else (None, None)
+            if trie:
+                good = often[trie.leaf[state]]
+                at, state = at[good], state[good]
+            at, state, bucket = longer(c, trie, only, buckets, at, state)
+            good = bits[bucket]
+            at, state = at[good], state[good]
             if not len(at):
                 continue
-            _, one = np.unique(state * len(c.words) + c.codes[at + trie.depth], return_index=True)
-            words = [c.words.take(pa.array(c.codes[at[one] + j])) for j in range(trie.depth + 1)]
+            _, one = np.unique(state.astype(np.int64) * len(c.words) + c.codes[at + depth], return_index=True)
+            words = [c.words.take(pa.array(c.codes[at[one] + j])) for j in range(depth + 1)]
             yield pa.RecordBatch.from_arrays([pa.repeat(c.lang, len(one)), pc.binary_join_element_wise(*words, " ")], ["lang", "phrase"])
 
-    return texts.mapInArrow(run, "lang string, phrase string")
-
-
-def counted(texts: DataFrame, shared) -> DataFrame:
-    """``lang``, ``phrase`` and ``f`` of the phrases of a trie."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, phrases = shared.value
-        names = {i: name for name, i in trie.langs.items()}
-        total = np.zeros(len(trie.check), np.int64)
-        for c in read_chunks(batches):
-            total += np.bincount(trie.walk(c)[1], minlength=len(total))
-        some = np.flatnonzero(total)
-        # Up from the leaf to the state of the language, whose symbol is its distance from the root's base.
-        top = some
-        for _ in range(trie.depth):
-            top = trie.check[top]
-        langs = pa.array([names[i] for i in (top - trie.base[0]).tolist()], pa.string())
-        for k in range(0, len(some), 100_000):
-            part = some[k : k + 100_000]
-            yield pa.RecordBatch.from_arrays(
-                [langs.slice(k, len(part)), phrases.take(pa.array(trie.leaf[part])), pa.array(total[part])], ["lang", "phrase", "f"]
-            )
-
-    return texts.mapInArrow(run, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    return texts.mapInArrow(run, "lang string, phrase string").distinct()
 
 
 def united(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
-def candidates(texts: DataFrame, shorter: DataFrame, least: int) -> DataFrame | None:
-    """Phrases of one word more than the frequent ``shorter`` ones that may be frequent, each once."""
-    spark, found, complete = texts.sparkSession, [], True
-    for trie, _, only in tries(shorter):
-        complete = only
-        shared = spark.sparkContext.broadcast(trie)
-        buckets = bucket_counts(texts, shared, only).where(F.col("f") >= least).select("bucket").toArrow()
-        if buckets.num_rows:
-            bits = np.zeros(BUCKETS, np.uint8)
-            bits[buckets["bucket"].to_numpy()] = 1
-            safe = spark.sparkContext.broadcast(np.packbits(bits))
-            found.append(stored(proposed(texts, shared, safe, only)))
-            safe.unpersist()
-        shared.unpersist()
-    if not found:
-        return None
-    rows = united(found).distinct()
-    if not complete:
-        rear = F.expr("substring(phrase, instr(phrase, ' ') + 1)")
-        rows = rows.withColumn("rear", rear).join(
-            shorter.select("lang", F.col("phrase").alias("rear")), ["lang", "rear"], "left_semi"
-        ).select("lang", "phrase")
-    return stored(rows)
-
-
-def frequent(texts: DataFrame, rows: DataFrame, least: int) -> DataFrame | None:
-    """The candidates that stand ``least`` times or more, with ``f``."""
-    spark, found = texts.sparkSession, []
-    for trie, phrases, _ in tries(rows):
-        shared = spark.sparkContext.broadcast((trie, phrases))
-        found.append(stored(counted(texts, shared).where(F.col("f") >= least)))
-        shared.unpersist()
-    return united(found) if found else None
+def _read_twice(
+    texts: DataFrame, trie: tuple[Trie | None, pa.Array, pa.Array], only: bool, buckets: int, least: int
+) -> tuple[DataFrame, DataFrame | None]:
+    """The frequent phrases of a trie, and the candidates of the next level whose fronts they are, None if there are none."""
+    context = texts.sparkSession.sparkContext
+    shared = context.broadcast(trie)
+    found = stored(counted(texts, shared, only, buckets, least))
+    level, more = found.where("phrase is not null").select("lang", "phrase", "f"), None
+    rows = found.where("block is not null").select("block", "bits").collect() if buckets else []
+    if rows:
+        bits = np.zeros((buckets // BLOCK, BLOCK // 8), np.uint8)
+        for r in rows:
+            bits[r["block"]] = np.frombuffer(r["bits"], np.uint8)
+        often = np.zeros(len(trie[1]), bool)
+        often[found.where("phrase is not null").select("leaf").toArrow()["leaf"].to_numpy()] = True
+        known = context.broadcast((often, bits.reshape(-1)))
+        more = stored(proposed(texts, shared, known, only, buckets))
+        known.unpersist()
+    shared.unpersist()
+    return level, more
 
 
 def phrase_counts(texts: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     """``lang``, ``phrase``, its number of ``words`` and ``f`` of frequent phrases, and ``lang`` and its number ``n`` of words."""
-    all_words = stored(word_counts(texts))
-    sizes = all_words.groupBy("lang").agg(F.sum("f").alias("n"))
-    level: DataFrame | None = stored(all_words.where(F.col("f") >= least))
-    found = [level.withColumn("words", F.lit(1))]
-    for k in range(2, LONGEST + 1):
-        rows = candidates(texts, level, least)
-        level = None if rows is None else frequent(texts, rows, least)
-        if level is None:
+    sizes = stored(texts.groupBy("lang").agg(F.sum("n").alias("n")))
+    n = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, 1 << (n // WORDS_A_BUCKET).bit_length()))
+    found = [sizes.selectExpr("lang", "lang as phrase", "n as f", "1 as words").where("false")]
+    none = pa.array([], pa.string())
+    _, candidates = _read_twice(texts, (None, none, none), True, buckets, least)
+    for k in range(1, LONGEST + 1):
+        levels, more, complete = [], [], True
+        for trie, complete in [] if candidates is None else tries(candidates):
+            level, next_ones = _read_twice(texts, trie, complete, buckets if k < LONGEST else 0, least)
+            levels.append(level)
+            more += [] if next_ones is None else [next_ones]
+        if not levels:
             break
-        found.append(level.withColumn("words", F.lit(k)))
+        frequent = united(levels)
+        found.append(frequent.withColumn("words", F.lit(k)))
+        candidates = united(more) if more else None
+        if more and not complete:
+            rear = F.expr("substring(phrase, instr(phrase, ' ') + 1)")
+            known = frequent.select("lang", F.col("phrase").alias("rear"))
+            candidates = stored(candidates.withColumn("rear", rear).join(known, ["lang", "rear"], "left_semi").select("lang", "phrase"))
     return united(found), sizes
 
 

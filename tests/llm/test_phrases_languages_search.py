@@ -93,7 +93,7 @@ def test_tries_against_sets():
     codes[::50] = -1
     for lang in ("x", "y", "z"):
         known = {p for p, name in zip(phrases, langs) if name == lang}
-        at, state = trie.walk(collocations.Chunk(lang, pa.array(words), codes))
+        at, state = trie.walk(collocations.Chunk(lang, pa.array(words), np.zeros(0, np.uint32), codes))
         texts = [("" if c < 0 else words[c]) for c in codes]
         wanted = [i for i in range(len(codes) - 2) if tuple(texts[i : i + 3]) in known]
         assert at.tolist() == wanted
