@@ -29,7 +29,8 @@ from tarmac.llm.common import column, packed, stored
 MIN_WORDS = 25
 SHORT = 4
 # Up to a sign that ends a sentence and other signs, with white space or nothing after them, or to the end of the line.
-SENTENCE = re.compile(r"[^\n]*?[.!?][^\w\s]*(?=\s|$)|[^\n]+")
+# Of a run of signs that end sentences only the first is tried, with all signs behind it, as none of the others can do better.
+SENTENCE = re.compile(r"[^\n]*?(?<![.!?])[.!?][^\w\s]*+(?=\s|$)|[^\n]+")
 PLAIN = re.compile(r"[^\w]+")
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -58,6 +59,58 @@ def test_sketch_buckets_are_in_order(spark):
     assert all(r.low <= r.id and (r.id - r.low) * 16 <= r.id for r in found)
 
 
+def brute_cutoffs(rows):
+    """Quantiles of buckets per language and source, mixed, by a reading of all values."""
+
+    def floor(v):
+        width = max(0, v.bit_length() - 7)
+        return v >> width << width
+
+    def quantiles(values):
+        values = sorted(floor(v) for v in values)
+        return [values[-(-len(values) * k // 100) - 1] for k in quality.LEVELS]
+
+    own, wide = defaultdict(list), defaultdict(list)
+    for r in rows:
+        for m in quality.METRICS:
+            own[r.row.lang, r.row.source, m].append(r[m])
+            wide[r.row.lang, m].append(r[m])
+    found = {}
+    for (lang, source, m), values in own.items():
+        n = len(values)
+        found[lang, source, m] = [(n * a + 500 * b) // (n + 500) for a, b in zip(quantiles(values), quantiles(wide[lang, m]))]
+    return found
+
+
+def test_verdicts_against_brute_force(docs):
+    rows = quality.judged(docs).collect()
+    cutoffs = brute_cutoffs(rows)
+    for r in rows:
+        q = {m: dict(zip(quality.LEVELS, cutoffs[r.row.lang, r.row.source, m])) for m in quality.METRICS}
+        ends = {m: (max(q[m][10], 1), max(q[m][90], 1)) for m in ("word_length", "n_words")}
+        low, high = ends["word_length"]
+        odd = not low <= r.word_length <= high
+        out = odd and r.symbols > q["symbols"][90] + 3 * (q["symbols"][90] - q["symbols"][50])
+        for m in quality.SHARES:
+            most = max(q[m][99], q[m][75] + 3 * (q[m][75] - q[m][25]))
+            out |= r[m] > most and (most > 0 or odd)
+        out |= r.word_length < low * low / high or r.word_length > high * high / low
+        out |= r.n_words < ends["n_words"][0] ** 2 / ends["n_words"][1]
+        assert r.kept == (not r.base_failed and not out), r.row.doc_id
+
+
+def test_no_size_of_a_source_flips_its_cutoffs(spark):
+    words = "word " * 30
+    usual = [(i, words + str(i % 7), "en", "big") for i in range(4000)]
+    kept = []
+    for n in (499, 500):
+        own = [(10_000 + i, f"{words}## {'#' * (i % 5)}", "en", "signs") for i in range(n)]
+        docs = spark.createDataFrame(usual + own, "doc_id long, text string, lang string, source string")
+        limits = quality.cutoffs(docs).where("source_key = '+signs'").first()
+        kept.append([v for v in limits[2:]])
+    assert all(abs(a - b) <= 0.02 * max(a, 1) for a, b in zip(*kept))
+
+
 def test_good_and_bad_labels(spark):
     folder = "/root/testdata/sf0.01"
     marks = quality.judged(table(spark, folder, "documents")).select("row.doc_id", "base_failed", "kept")
@@ -241,6 +294,65 @@ def test_repeated_passages(docs):
         assert r.removed == ",".join(f"{a}:{b}" for a, b in spans) and r.n_removed == len(spans)
 
 
+def plain_units(text):
+    """Sentences by a reading of characters: words, normalised text and offsets."""
+    spans, start, i = [], 0, 0
+    while i < len(text):
+        c = text[i]
+        if c == "\n":
+            spans.append((start, i))
+            start = i + 1
+        elif not (c.isalnum() or c == "_" or c.isspace()):
+            j = i
+            while j < len(text) and not (text[j].isalnum() or text[j] == "_" or text[j].isspace()):
+                j += 1
+            if set(text[i:j]) & set(".!?") and j < len(text) and text[j].isspace() and text[j] != "\n":
+                spans.append((start, j))
+                start = j
+            i = j - 1
+        i += 1
+    spans.append((start, len(text)))
+    units = []
+    for a, b in spans:
+        words = len(text[a:b].split())
+        if words:
+            key = "".join(c for c in text[a:b].casefold() if c.isalnum() or c == "_")
+            units.append((a, b, words, key if words >= 4 else None))
+    return units
+
+
+def test_repeated_passages_against_a_reading_by_characters(docs):
+    rows = sorted((r.doc_id, r.text or "") for r in docs.collect())
+    first, expected = {}, Counter()
+    for i, text in rows:
+        for k, u in enumerate(plain_units(text)):
+            if u[3]:
+                first.setdefault(u[3], (i, k))
+    for i, text in rows:
+        units, spans, run = plain_units(text), [], []
+        for k, u in [*enumerate(units), (None, None)]:
+            repeats = u is not None and u[3] is not None and first[u[3]] != (i, k)
+            if repeats or (run and u is not None and u[3] is None):
+                run.append(k)
+                continue
+            while run and units[run[-1]][3] is None:
+                run.pop()
+            if sum(units[j][2] for j in run) >= 25:
+                spans.append((units[run[0]][0], units[run[-1]][1]))
+            run = []
+        clean = "".join(c for at, c in enumerate(text) if not any(a <= at < b for a, b in spans))
+        expected[i, clean] += 1
+    found = Counter((r.row.doc_id, r.clean or "") for r in passages.deduplicated(docs).collect())
+    assert found == expected
+
+
+def test_runs_of_signs_are_read_once():
+    start = time.perf_counter()
+    for text in ("!" * 100_000 + "a", "a. " * 50_000, "." * 100_000, "a! " * 30_000 + "\n", "?!" * 50_000 + " x"):
+        passages.units_of(text)
+    assert time.perf_counter() - start < 20
+
+
 def test_a_planted_passage_stays_once(spark):
     passage = " ".join(f"Sentence number {i} says that all is well." for i in range(9))
     rows = [(3, f"Begins here. {passage}"), (1, f"Other words.\nMore of them. {passage} The end."), (2, "Clean text of its own.")]
@@ -261,7 +373,7 @@ def test_pipeline(spark):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries()) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries()) == list(range(1, 14))
 
 
 def test_mix_over_many_buckets(spark, monkeypatch):
