@@ -3,9 +3,9 @@
 A sketch is a histogram with buckets of bounded relative width (1/64) over whole numbers:
 one row per bucket with a count. Two sketches merge by adding counts, so each task builds
 its own and the shuffle adds them up; a hot language or source is a few hundred rows per
-task by then. Sketches exist per language and source. A source with fewer than
-``min_group`` documents of a language takes the cutoffs of the merged sketches of that
-language instead.
+task by then. Sketches exist per language and source. The quantiles of a source are mixed with those of the merged
+sketches of its language, which weigh as much as ``PRIOR`` documents. So every source counts by its
+own size, and none changes its cutoffs at once by growing.
 
 All cutoffs are quantiles, or multiples of their distances; no fixed value stands in one. Shares are mostly
 zero: beyond the 99th percentile and the fence of the quartiles they fail. Mean word length
@@ -42,7 +42,7 @@ SHARES = {
 METRICS = [*SHARES, "word_length", "n_words"]
 LEVELS = (10, 25, 50, 75, 90, 99)
 SPREAD = 3
-MIN_GROUP = 500
+PRIOR = 500
 
 
 def with_features(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -180,8 +180,8 @@ def cutoffs(docs: DataFrame, text: str = "text", lang: str = "lang", source: str
     own = merged(parts, ["lang_key", "source_key"])
     levels = [f"q{k}" for k in LEVELS]
     wide = merged(parts, ["lang_key"]).drop("total").withColumnsRenamed({q: f"wide_{q}" for q in levels})
-    chosen = {q: F.when(F.col("total") >= MIN_GROUP, F.col(q)).otherwise(F.col(f"wide_{q}")) for q in levels}
-    return fences(own.join(wide, ["lang_key", "metric"]).withColumns(chosen), ["lang_key", "source_key"])
+    mixed = {q: F.expr(f"(total * {q} + {PRIOR} * wide_{q}) div (total + {PRIOR})") for q in levels}
+    return fences(own.join(wide, ["lang_key", "metric"]).withColumns(mixed), ["lang_key", "source_key"])
 
 
 def judged(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
