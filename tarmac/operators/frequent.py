@@ -63,8 +63,11 @@ def approx_top_n(
     (``limit``, see :func:`tarmac.operators.joins.fit_broadcast`); then no more than these cross the network.
     """
     rows = rows.select(F.col(group).alias("group"), F.col(name).alias("name")).dropna()
-    returned = F.expr(f"transform(approx_top_k_estimate(counts, {counters}), x -> x.item)").alias("names")
-    found = kept(summaries(rows, "group", "name", counters).select("group", "total", returned))
+    # The names that can be among the n most frequent: not below the n-th estimate by more than both estimates may be wrong.
+    merged = summaries(rows, "group", "name", counters).withColumn("names", F.expr(f"approx_top_k_estimate(counts, {counters})"))
+    least = F.coalesce(F.get("names", F.lit(n - 1))["count"], F.lit(0)) - most_left_out(F.col("total"), counters)
+    names = F.transform(F.filter("names", lambda x: x["count"] >= F.col("least")), lambda x: x["item"]).alias("names")
+    found = kept(merged.withColumn("least", least).select("group", "total", names))
     frequent = found.select("group", F.explode("names").alias("name"))
     # The first names of a group: each task sends the rows of n names of each such group at most.
     short = found.where(F.size("names") < n).select("group")
