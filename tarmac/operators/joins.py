@@ -125,13 +125,18 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or usual)
 
 
-def hot_keys(rows: DataFrame, key: str) -> list[tuple[object, int]]:
-    """Keys with more rows than an average shuffle partition, and the number of pieces to cut each into.
+def shuffle_tasks(spark: SparkSession) -> int:
+    """The number of tasks that a shuffle may be left with after adaptive execution has put partitions together."""
+    return min(shuffle_partitions(spark), spark.sparkContext.defaultParallelism)
+
+
+def hot_keys(rows: DataFrame, key: str, partitions: int | None = None) -> list[tuple[object, int]]:
+    """Keys with more rows than an average partition, of a shuffle if not told, and the number of pieces to cut each into.
 
     One reading of the rows gives counts and total. There are fewer hot keys than partitions,
     whatever the data, and that many rows at most reach the driver.
     """
-    return [(value, pieces) for value, pieces, _ in hot_cells(rows, None, key)]
+    return [(value, pieces) for value, pieces, _ in hot_cells(rows, None, key, partitions)]
 
 
 def hot_cells(

@@ -9,7 +9,7 @@ from tarmac.functions import aircraft_type, model_label
 from tarmac.functions.texts import CESSNA_LABEL
 from tarmac.operators import ranking
 from tarmac.operators.filters import CESSNA, UNITED_STATES, by_country, by_manufacturer, by_year
-from tarmac.operators.rollups import Dimension, delay_statistics, flight_count, rollup
+from tarmac.operators.rollups import Dimension, delay_statistics, distinct_count, flight_count, rollup
 
 
 def flights_per_model(
@@ -126,8 +126,7 @@ def type_counts(
     if measure == "flights":
         return rollup(facts, dimensions, group_by, flight_count(), limit).withColumnRenamed("flights", "n")
     if measure == "distinct_tails":
-        tails = rollup(facts, dimensions, [*group_by, "tail_number"], flight_count(), limit)
-        return tails.groupBy(*group_by).agg(F.count("*").alias("n"))
+        return distinct_count(facts, dimensions, group_by, "tail_number", limit)
     raise ValueError(f"measure must be 'flights' or 'distinct_tails', not {measure!r}")
 
 

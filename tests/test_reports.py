@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -6,6 +7,7 @@ import brute_force
 from benchmarks import naive_forms
 from helpers import aircrafts, airlines, flights, physical, tuples
 from tarmac import catalog, departure_delay, popular_types, top_models
+from tarmac.operators import rollups
 from tarmac.operators.joins import fit_broadcast
 from tarmac.plans import type_counts
 from tarmac.sources import read_star
@@ -156,3 +158,53 @@ def test_plain_forms_agree(spark):
     for ours, plain in pairs:
         rows = tuples(ours)
         assert rows and rows == tuples(plain)
+
+
+@pytest.fixture
+def tiny_parts(monkeypatch):
+    """Tasks may hold no group, and parts have 20 rows each."""
+    monkeypatch.setattr(rollups, "GROUPS", 0)
+    monkeypatch.setattr(rollups, "ROWS", 20)
+
+
+@pytest.mark.parametrize("limit", [0, 900])
+@pytest.mark.parametrize("measure", ["flights", "distinct_tails"])
+def test_dealt_rows_by_brute_force(messy, tiny_parts, limit, measure):
+    rows, frames = messy
+    expected = brute_force.popular_types(*rows, None, 5, measure)
+    assert tuples(popular_types(*frames, measure=measure, limit=limit)) == expected
+    f, a, c = rows
+    assert tuples(top_models(*frames[:2], limit=limit)) == brute_force.top_models(f, a, "CESSNA", 3)
+    delays = brute_force.departure_delay(f, a, c, "2004", "United States", "of_hour", False)
+    assert tuples(departure_delay(*frames, "2004", limit=limit)) == delays
+
+
+def test_null_keys_and_hot_keys_dealt(spark, tiny_parts):
+    """Half of the flights are one pair of keys, and others have no key."""
+    rows = [("A", "", "N1", "", "")] * 100 + [(c, "", t, "", "") for c in "AB" for t in map("N{}".format, range(50))]
+    f = flights(spark, rows + [(None, "", "N1", "", "")] * 30 + [("A", "", None, "", "")] * 30)
+    a = aircrafts(spark, [(f"N{i}", "M", str(i % 2)) for i in range(50)] + [(None, "M", "1"), ("N1", "M", "1")])
+    c = airlines(spark, [("A", "Alpha", "x"), ("B", None, "x"), (None, "None", "x")])
+    counted = {(None, "M 0", 25), (None, "M 1", 26), ("Alpha", "M 0", 25), ("Alpha", "M 1", 226)}
+    assert set(tuples(type_counts(f, a, c, limit=0))) == counted
+    assert {n for *_, n in tuples(type_counts(f, a, c, measure="distinct_tails", limit=0))} == {25}
+
+
+@pytest.mark.parametrize("measure", ["flights", "distinct_tails"])
+def test_parts_grow_with_the_flights(spark, monkeypatch, measure):
+    """What a task holds stays the same: twice the pairs of keys, twice the parts, whatever the session's number is."""
+    monkeypatch.setattr(rollups, "GROUPS", 100)
+    monkeypatch.setattr(rollups, "ROWS", 100)
+    c = spark.range(40).selectExpr("concat('C', id) as carrier_code", "concat('Line ', id) as name", "'x' as country")
+    a = spark.range(200).selectExpr("concat('N', id) as tail_number", "'M' as manufacturer", "cast(id as string) as model")
+    for number in (3000, 6000):
+        f = spark.range(number).selectExpr("concat('C', id % 40) as carrier_code", "concat('N', id div 40) as tail_number")
+        counts = type_counts(f, a, c, measure=measure, limit=0)
+        plan = physical(counts)
+        dealt = re.findall(r"hashpartitioning\((.+?), (\d+)\), REPARTITION_BY_NUM", plan)
+        assert [int(n) for _, n in dealt] == [number // 100] * 3
+        assert "ENSURE_REQUIREMENTS" not in re.sub(r"hashpartitioning\((carrier_code|tail_number)#[^)]*\), ENSURE_REQUIREMENTS", "", plan)
+        assert counts.count() == number
+    # Few pairs of keys are added up in each task before they are shuffled.
+    f = spark.range(6000).selectExpr("concat('C', id % 4) as carrier_code", "'N1' as tail_number")
+    assert "REPARTITION" not in physical(type_counts(f, a, c, measure=measure, limit=0))
