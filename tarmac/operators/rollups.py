@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tarmac.functions import delay_minutes, seconds_of_day
 from tarmac.operators.joins import fit_broadcast, hot_keys, shuffle_tasks
+from tarmac.operators.ranking import in_pieces, piece_of
 
 # Groups that a task may hold. If there are more, rows are dealt out over as many tasks as have this many rows each.
 GROUPS = 250_000
@@ -95,28 +96,49 @@ def rollup(
     With more different keys than the tasks of a shuffle may hold, adding up in each task saves little. Then the flights
     are dealt out over a number of tasks that grows with them, so what a task holds does not (:func:`_dealt_join`).
     """
+    return rollup_in_parts(flights, dimensions, group_by, measure, limit)[0]
+
+
+def rollup_in_parts(
+    flights: DataFrame,
+    dimensions: list[Dimension],
+    group_by: list[str],
+    measure: Measure,
+    limit: int | None = None,
+    cut: str | None = None,
+) -> tuple[DataFrame, int | None]:
+    """The same with the number of parts that the groups lie in, none if the tasks of a shuffle can hold them.
+
+    With ``cut``, one of the columns, they lie there by the other columns and the piece of this one, which is a column
+    more then: a part holds all of a piece, and a group of the other columns is in as many pieces as there are parts.
+    """
     rows, deal = _joined(flights, dimensions, group_by, measure, limit)
-    return measure.combine(deal(rows, group_by), group_by)
+    rows, keys, parts = deal(rows, group_by, cut)
+    return measure.combine(rows, keys), parts
 
 
-def distinct_count(
+def distinct_count_in_parts(
     flights: DataFrame,
     dimensions: list[Dimension],
     group_by: list[str],
     key: str,
     limit: int | None = None,
-) -> DataFrame:
-    """The number ``n`` of different values of ``key`` among the joined flights per ``group_by``."""
+    cut: str | None = None,
+) -> tuple[DataFrame, int | None]:
+    """The number ``n`` of different values of ``key`` among the joined flights per ``group_by``, with the number of parts
+    that the groups lie in (:func:`rollup_in_parts`)."""
     measure, each = flight_count(), [*group_by, key]
     rows, deal = _joined(flights, dimensions, each, measure, limit)
-    found = measure.combine(deal(rows, each), each)
-    return deal(found, group_by).groupBy(*group_by).agg(F.count("*").alias("n"))
+    found = measure.combine(deal(rows, each)[0], each)
+    found, keys, parts = deal(found, group_by, cut)
+    return found.groupBy(*keys).agg(F.count("*").alias("n")), parts
 
 
 def _joined(
     flights: DataFrame, dimensions: list[Dimension], group_by: list[str], measure: Measure, limit: int | None
-) -> tuple[DataFrame, Callable[[DataFrame, list[str]], DataFrame]]:
-    """Flights joined with the dimensions, added up on the way, and what deals such rows out before they are grouped."""
+) -> tuple[DataFrame, Callable[..., tuple[DataFrame, list[str], int | None]]]:
+    """Flights joined with the dimensions, added up on the way, and what deals such rows out before they are grouped: it
+    returns them with the columns to group by and the number of parts, none if they were not dealt out."""
     fits = fit_broadcast([d.rows for d in dimensions], limit)
     small = [d for d, fit in zip(dimensions, fits) if fit]
     large = [d for d, fit in zip(dimensions, fits) if not fit]
@@ -135,12 +157,16 @@ def _joined(
         else:
             rows = _multiplied(measure.combine(rows, keys).join(d.counted(), d.key), measure.sums)
 
-    def deal(rows: DataFrame, group_by: list[str]) -> DataFrame:
+    def deal(rows: DataFrame, group_by: list[str], cut: str | None = None) -> tuple[DataFrame, list[str], int | None]:
         # After the last join, rows of a key are together unless it was cut into pieces.
         together = bool(parts) and large[-1].key in group_by and not parts[large[-1].key]
         if not parts or together or not _many(dimensions, group_by):
-            return rows
-        return rows.repartition(parts["number"], *group_by)
+            return rows, group_by, None
+        number = parts["number"]
+        if cut is None:
+            return rows.repartition(number, *group_by), group_by, number
+        by = [*[c for c in group_by if c != cut], piece_of(cut)]
+        return in_pieces(rows, cut, number).repartition(number, *by), [*group_by, piece_of(cut)], number
 
     return rows, deal
 

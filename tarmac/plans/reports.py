@@ -9,7 +9,14 @@ from tarmac.functions import aircraft_type, model_label
 from tarmac.functions.texts import CESSNA_LABEL
 from tarmac.operators import ranking
 from tarmac.operators.filters import CESSNA, UNITED_STATES, by_country, by_manufacturer, by_year
-from tarmac.operators.rollups import Dimension, delay_statistics, distinct_count, flight_count, rollup
+from tarmac.operators.rollups import (
+    Dimension,
+    delay_statistics,
+    distinct_count_in_parts,
+    flight_count,
+    rollup,
+    rollup_in_parts,
+)
 
 
 def flights_per_model(
@@ -113,6 +120,19 @@ def type_counts(
 
     ``n`` counts flights, or different aircraft with ``measure="distinct_tails"``.
     """
+    return _type_counts(flights, aircrafts, airlines, country, measure, limit)[0]
+
+
+def _type_counts(
+    flights: DataFrame,
+    aircrafts: DataFrame,
+    airlines: DataFrame,
+    country: str | None,
+    measure: str,
+    limit: int | None,
+    cut: str | None = None,
+) -> tuple[DataFrame, int | None]:
+    """The same with the number of parts that they lie in (:func:`~tarmac.operators.rollups.rollup_in_parts`)."""
     if country is not None:
         airlines = by_country(airlines, country)
     carriers = airlines.select("carrier_code", F.col("name").alias("airline"))
@@ -124,9 +144,10 @@ def type_counts(
     group_by = ["airline", "aircraft_type"]
     facts = flights.select("carrier_code", "tail_number")
     if measure == "flights":
-        return rollup(facts, dimensions, group_by, flight_count(), limit).withColumnRenamed("flights", "n")
+        counts, parts = rollup_in_parts(facts, dimensions, group_by, flight_count(), limit, cut)
+        return counts.withColumnRenamed("flights", "n"), parts
     if measure == "distinct_tails":
-        return distinct_count(facts, dimensions, group_by, "tail_number", limit)
+        return distinct_count_in_parts(facts, dimensions, group_by, "tail_number", limit, cut)
     raise ValueError(f"measure must be 'flights' or 'distinct_tails', not {measure!r}")
 
 
@@ -140,8 +161,8 @@ def top_types(
     limit: int | None = None,
 ) -> DataFrame:
     """The ``n`` aircraft types each airline uses most: ``airline, aircraft_type, n, rank``."""
-    counts = type_counts(flights, aircrafts, airlines, country, measure, limit)
-    return ranking.top_n_per_group(counts, "airline", "n", "aircraft_type", n)
+    counts, parts = _type_counts(flights, aircrafts, airlines, country, measure, limit, cut="aircraft_type")
+    return ranking.top_n_per_group(counts, "airline", "n", "aircraft_type", n, parts)
 
 
 def popular_types(

@@ -1,5 +1,6 @@
 import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -9,7 +10,7 @@ from helpers import aircrafts, airlines, flights, physical, tuples
 from tarmac import catalog, departure_delay, popular_types, top_models
 from tarmac.operators import rollups
 from tarmac.operators.joins import fit_broadcast
-from tarmac.plans import type_counts
+from tarmac.plans import top_types, type_counts
 from tarmac.sources import read_star
 
 FOLDER = "/root/testdata/sf0.001"
@@ -208,3 +209,43 @@ def test_parts_grow_with_the_flights(spark, monkeypatch, measure):
     # Few pairs of keys are added up in each task before they are shuffled.
     f = spark.range(6000).selectExpr("concat('C', id % 4) as carrier_code", "'N1' as tail_number")
     assert "REPARTITION" not in physical(type_counts(f, a, c, measure=measure, limit=0))
+
+
+@pytest.mark.parametrize("measure", ["flights", "distinct_tails"])
+def test_parts_of_ranked_types_grow_with_the_flights(spark, monkeypatch, measure):
+    """Types are ranked and listed where they were dealt to, not in as many tasks as the session says."""
+    monkeypatch.setattr(rollups, "GROUPS", 100)
+    monkeypatch.setattr(rollups, "ROWS", 100)
+    c = spark.range(40).selectExpr("concat('C', id) as carrier_code", "concat('Line ', id) as name", "'x' as country")
+    a = spark.range(200).selectExpr("concat('N', id) as tail_number", "'M' as manufacturer", "cast(id as string) as model")
+    for number in (3000, 6000):
+        f = spark.range(number).selectExpr("concat('C', id % 40) as carrier_code", "concat('N', id div 40) as tail_number")
+        for n in (3, 2000):
+            types = popular_types(f, a, c, n=n, measure=measure, limit=0)
+            by_airline = re.findall(r"hashpartitioning\(airline#[^)]*?, (\d+)\), (\w+)", physical(types))
+            assert by_airline == [(str(number // 100), "REPARTITION_BY_NUM")] * 2
+        assert types.count() == 40
+
+
+@pytest.mark.parametrize("n", [1, 3, 2000])
+@pytest.mark.parametrize("measure", ["flights", "distinct_tails"])
+def test_dealt_types_are_ranked_as_a_whole(spark, tiny_parts, measure, n):
+    """Half of the carriers share a name, which has many types with equal counts; others have no name or one type."""
+    pick = random.Random(7)
+    rows = [(f"C{pick.randrange(12)}", "", f"N{pick.randrange(150)}", "", "") for _ in range(1500)]
+    rows += [("C12", "", "N7", "", "")] * 3
+    names = {f"C{i}": "Shared" if i < 6 else None if i < 8 else f"Line {i}" for i in range(13)}
+    f = flights(spark, rows)
+    a = aircrafts(spark, [(f"N{i}", "M", f"{i % 100:03}") for i in range(150)])
+    c = airlines(spark, [(code, name, "x") for code, name in names.items()])
+    used = [(names[code], f"M {int(tail[1:]) % 100:03}", tail) for code, _, tail, _, _ in rows]
+    used = used if measure == "flights" else set(used)
+    expected = []
+    for airline in set(names.values()):
+        counts = Counter(kind for name, kind, _ in used if name == airline)
+        best = sorted(counts.items(), key=lambda pair: (-pair[1], pair[0]))[:n]
+        expected += [(airline, kind, number, rank) for rank, (kind, number) in enumerate(best, 1)]
+    found = top_types(f, a, c, n=n, measure=measure, limit=0)
+    assert found.columns == ["airline", "aircraft_type", "n", "rank"]
+    assert sorted(tuples(found), key=str) == sorted(expected, key=str)
+    assert type_counts(f, a, c, measure=measure, limit=0).columns == ["airline", "aircraft_type", "n"]
