@@ -3,21 +3,18 @@
 Texts are cut into pieces and words once and written as chunks: the different words of some texts
 of one language, and the place of each word of the text in that list. All counting reads these chunks.
 
-Phrases grow by a word a level, from single words on. Double-array tries of the candidates of a level are broadcast, and numpy takes
-all positions of a chunk through a trie at once, a word a step. Each level takes two readings:
+Phrases grow by a word a level, from single words on, and a level is one reading. Words are counted as they are.
+Then a double-array trie of the frequent phrases of a level is broadcast, and numpy takes all positions of a chunk through it at once,
+a word a step. What is counted are pairs of an accepting state and the word behind it, which are the phrases of one word more. A
+phrase can be frequent only if the two phrases that are a word shorter are, so pairs are left out where no phrase of the trie begins a word later.
 
-1. ``counted``: accepting states are counted by ``bincount`` in each task, and Spark adds the tasks up. In the same
-   reading, phrases of one word more are counted in hashed buckets, where both shorter phrases are candidates.
-   A phrase can be frequent only if the two phrases that are a word shorter are, and if its bucket is.
-2. ``proposed``: where both shorter phrases turned out to be frequent, phrases in frequent buckets are the candidates of the next
-   level, each once.
+Tasks add up what they read and send pairs as numbers, in order and as differences, dealt out by hash; the number of parts grows with the
+words of the corpus. So a level costs one reading and the sending of its different pairs, however many of them turn out to be rare.
 
-The first candidates are words in frequent buckets. Buckets only save work: they are a set of ``MOST_BUCKETS`` bits at most, and where a
-corpus is so large that all fill, nothing is ruled out by them and nothing is lost.
-
-A trie holds ``MOST_PHRASES`` phrases and ``MOST_BYTES`` bytes at most; beyond that phrases are dealt out by hash
-to several tries, two readings each, so that what is broadcast does not grow with the corpus.
-With several tries a position knows only the front of the two shorter phrases; the rear one is checked by a join.
+A trie holds ``MOST_PHRASES`` phrases and ``MOST_BYTES`` bytes at most; beyond that frequent phrases are dealt out by hash
+to several tries, a reading each, so that what is broadcast does not grow with the corpus.
+With several tries a position knows only the front of the two shorter phrases, and the word behind is any frequent one. These
+are a list of ``MOST_WORDS`` words and ``MOST_BYTES`` bytes at most; beyond that there are several lists, a reading each.
 
 Scores: see :func:`scored`. All counts are whole numbers; products are decimals of 38 digits, enough for 10^15 words.
 
@@ -49,13 +46,13 @@ NO_LANGUAGE = "und"
 LONGEST = 5
 
 CHUNK_BYTES = 500_000
-MOST_PHRASES = 1_000_000
+MOST_PHRASES = 1_200_000
+MOST_WORDS = 4_000_000
 MOST_BYTES = 64_000_000
 FEW_WORDS = 0xFFFF
-LEAST_BUCKETS = 1 << 16
-MOST_BUCKETS = 1 << 24
-WORDS_A_BUCKET = 32
-BLOCK = 1 << 15
+MOST_HELD = 1 << 20
+WORDS_A_PARTITION = 1 << 21
+BYTES_A_WORD = 16
 PIECES = 64
 
 
@@ -72,6 +69,10 @@ class Chunk:
     codes: np.ndarray
 
 
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(crc32, words), np.uint32, len(words))
+
+
 def chunks(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """Chunks as rows. ``words`` is one text with a line for each word, as no word holds a line break."""
     classes = byte_classes(blank=BLANKS, breaks=BREAKS)
@@ -96,7 +97,7 @@ def chunks(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
                     codes = np.full(n + int(found.first.sum()), -1, np.int32 if len(coded.dictionary) >= FEW_WORDS else np.int16)
                     codes[np.arange(n) + np.cumsum(found.first)] = coded.indices.to_numpy().astype(codes.dtype)
                     words = coded.dictionary.cast(pa.large_binary()).to_pylist()
-                    hashes = np.array([crc32(w) for w in words], np.uint32)
+                    hashes = hashes_of(words)
                     row = [[name], [b"".join(w + b"\n" for w in words).decode()], [hashes.tobytes()], [codes.tobytes()], [n]]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in row], ["lang", "words", "hashes", "codes", "n"])
 
@@ -104,15 +105,19 @@ def chunks(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
     return rows.mapInArrow(run, "lang string, words string, hashes binary, codes binary, n long")
 
 
+def lines_of(text: pa.Buffer) -> pa.Array:
+    data = np.frombuffer(text, np.uint8)
+    ends = np.flatnonzero(data == 10)
+    offsets = np.concatenate([[0], ends - np.arange(len(ends))]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(ends), pa.py_buffer(offsets), pa.py_buffer(data[data != 10]))
+
+
 def read_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
     for batch in batches:
         for i in range(batch.num_rows):
             lang, text, hashes, codes = (batch.column(c)[i] for c in ("lang", "words", "hashes", "codes"))
-            data = np.frombuffer(text.as_buffer(), np.uint8)
-            ends = np.flatnonzero(data == 10)
-            offsets = np.concatenate([[0], ends - np.arange(len(ends))]).astype(np.int32)
-            words = pa.StringArray.from_buffers(len(ends), pa.py_buffer(offsets), pa.py_buffer(data[data != 10]))
-            if len(ends) >= FEW_WORDS:
+            words = lines_of(text.as_buffer())
+            if len(words) >= FEW_WORDS:
                 places = np.frombuffer(codes.as_buffer(), np.int32)
             else:
                 places = np.frombuffer(codes.as_buffer(), np.uint16).astype(np.int32)
@@ -123,6 +128,38 @@ def read_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
 # Tries
 
 
+@dataclass(frozen=True)
+class Lexicon:
+    """Different words in order of their hashes."""
+
+    words: pa.Array
+    hashes: np.ndarray
+
+    def places(self, c: Chunk) -> np.ndarray:
+        """The place here of each word of a chunk, and -1 for those that are not here and for what stands between pieces."""
+        hashes = c.hashes if len(c.hashes) else hashes_of(c.words.cast(pa.large_binary()).to_pylist())
+        places = np.full(len(hashes) + 1, -1, np.int32)
+        left, at = np.arange(len(hashes)), np.searchsorted(self.hashes, hashes)
+        # Words of one hash stand side by side; few hashes have more than one.
+        while len(left):
+            good = self.hashes[np.minimum(at, len(self.hashes) - 1)] == hashes[left]
+            good &= at < len(self.hashes)
+            left, at = left[good], at[good]
+            same = pc.equal(c.words.take(pa.array(left)), self.words.take(pa.array(at))).to_numpy(zero_copy_only=False)
+            places[left[same]] = at[same]
+            left, at = left[~same], at[~same] + 1
+        return places
+
+
+def lexicon(words: pa.Array) -> tuple[Lexicon, np.ndarray]:
+    """The lexicon of different words, and the place of each in it."""
+    hashes = hashes_of(words.cast(pa.large_binary()).to_pylist())
+    order = np.argsort(hashes, kind="stable")
+    places = np.empty(len(order), np.int64)
+    places[order] = np.arange(len(order))
+    return Lexicon(words.take(pa.array(order)), hashes[order]), places
+
+
 @dataclass(frozen=True)
 class Trie:
     """A double array: the child of state ``s`` by symbol ``c`` is ``t = base[s] + c`` if ``check[t] == s``.
@@ -134,17 +171,17 @@ class Trie:
     base: np.ndarray
     check: np.ndarray
     leaf: np.ndarray  # number of the phrase that ends in a state, else -1
-    words: pa.Array
+    words: Lexicon
     langs: dict[str, int]
     depth: int
     radix: int
 
-    def walk(self, c: Chunk) -> tuple[np.ndarray, np.ndarray]:
-        """Positions at which a phrase stands, and the states that accept there."""
+    def walk(self, c: Chunk, places: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Positions at which a phrase stands, and the states that accept there. ``places`` are those of the chunk's words, if known."""
         at = np.zeros(0, np.int64)
         if c.lang not in self.langs:
             return at, at
-        places = np.append(pc.fill_null(pc.index_in(c.words, self.words), -1).to_numpy(zero_copy_only=False), -1).astype(np.int32)
+        places = self.words.places(c) if places is None else places
         # A word that is not in the trie leads to the place behind the array, which is nobody's child.
         beyond = np.int32(len(self.check))
         high = np.where(places < 0, beyond, places // self.radix)[c.codes]
@@ -161,30 +198,36 @@ class Trie:
 
 def double_array(langs: list[str], phrases: list[list[str]]) -> Trie:
     """The trie of phrases of equal length, with their languages; phrase ``i`` is leaf ``i``."""
-    depth = len(phrases[0])
-    flat = pa.array([w for p in phrases for w in p], pa.string()).dictionary_encode()
-    names = {name: i for i, name in enumerate(sorted(set(langs)))}
-    radix = int(np.ceil(max(1, len(flat.dictionary)) ** 0.5)) + 1
-    places = flat.indices.to_numpy().reshape(-1, depth).astype(np.int64)
-    symbols = [np.array([names[x] for x in langs])]
+    return flat_double_array(pa.array(langs, pa.string()), pa.array([w for p in phrases for w in p], pa.string()))
+
+
+def flat_double_array(langs: pa.Array, words: pa.Array) -> Trie:
+    """The same of the words of all phrases, one after the other."""
+    n, depth = len(langs), len(words) // len(langs)
+    coded, named = words.dictionary_encode(), langs.dictionary_encode()
+    names = {name: i for i, name in enumerate(named.dictionary.to_pylist())}
+    known, place = lexicon(coded.dictionary)
+    radix = int(np.ceil(len(place) ** 0.5)) + 1
+    places = place[coded.indices.to_numpy()].reshape(-1, depth)
+    symbols = [named.indices.to_numpy().astype(np.int64)]
     for j in range(depth):
         symbols += np.divmod(places[:, j], radix)
     most = max(radix, len(names))
     # Nodes level by level: parent and symbol of each; node 0 is the root.
-    parents, labels, node, n = [np.array([0])], [np.array([0])], np.zeros(len(phrases), np.int64), 1
+    parents, labels, node, nodes = [np.array([0])], [np.array([0])], np.zeros(n, np.int64), 1
     for symbol in symbols:
         keys, place = np.unique(node * most + symbol, return_inverse=True)
         parents.append(keys // most)
         labels.append(keys % most)
-        node = place + n
-        n += len(keys)
+        node = place + nodes
+        nodes += len(keys)
     parent, label = np.concatenate(parents), np.concatenate(labels)
     base, slot, length = _placed(parent, label, most)
     check, bases, leaf = np.full(length, -1, np.int32), np.zeros(length, np.int32), np.full(length, -1, np.int32)
     bases[slot] = base
     check[slot[1:]] = slot[parent[1:]]
-    leaf[slot[node]] = np.arange(len(phrases))
-    return Trie(bases, check, leaf, flat.dictionary, names, depth, radix)
+    leaf[slot[node]] = np.arange(n)
+    return Trie(bases, check, leaf, known, names, depth, radix)
 
 
 def _placed(parent: np.ndarray, label: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -232,177 +275,242 @@ def _placed(parent: np.ndarray, label: np.ndarray, most: int) -> tuple[np.ndarra
     return base, slot, max(len(used), int(slot.max()) + 1) + most
 
 
-def tries(phrases: DataFrame) -> Iterator[tuple[tuple[Trie, pa.Array, pa.Array], bool]]:
-    """Tries of a stored table of ``lang`` and ``phrase``, with the phrases and languages of their leaves, and whether it is the only one."""
-    size = phrases.agg(F.count("*").alias("n"), F.sum(F.octet_length("phrase") + F.octet_length("lang")).alias("bytes")).first()
+def parts_of(rows: DataFrame, by: list[str], most: int) -> Iterator[tuple[pa.Table, bool]]:
+    """A stored table in parts of ``most`` rows and ``MOST_BYTES`` bytes, and whether it is the only one."""
+    size = rows.agg(F.count("*").alias("n"), F.sum(sum(F.octet_length(c) for c in by)).alias("bytes")).first()
     if not size["n"]:
         return
-    parts = max(-(-size["n"] // MOST_PHRASES), -(-size["bytes"] // MOST_BYTES))
-    dealt = phrases.withColumn("part", F.pmod(F.xxhash64("lang", "phrase"), F.lit(parts)))
+    parts = max(-(-size["n"] // most), -(-size["bytes"] // MOST_BYTES))
+    dealt = rows.select(*by).withColumn("part", F.pmod(F.xxhash64(*by), F.lit(parts)))
     for part in range(parts):
-        some = dealt.where(F.col("part") == part).select("lang", "phrase").toArrow()
+        some = dealt.where(F.col("part") == part).select(*by).toArrow()
         if some.num_rows:
-            texts, langs = some["phrase"].combine_chunks(), some["lang"].combine_chunks()
-            yield (double_array(langs.to_pylist(), [p.split(" ") for p in texts.to_pylist()]), texts, langs), parts == 1
+            yield some, parts == 1
+
+
+def tries(phrases: DataFrame) -> Iterator[tuple[tuple[Trie, pa.Array, pa.Array], bool]]:
+    """Tries of a stored table of ``lang`` and ``phrase``, with the phrases and languages of their leaves, and whether it is the only one."""
+    for some, only in parts_of(phrases, ["lang", "phrase"], MOST_PHRASES):
+        texts, langs = some["phrase"].combine_chunks(), some["lang"].combine_chunks()
+        yield (flat_double_array(langs, pc.split_pattern(texts, " ").flatten()), texts, langs), only
 
 
 # Levels
 
 
-def longer(
-    c: Chunk, trie: Trie | None, only: bool, buckets: int, at: np.ndarray, state: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of positions at which phrases of the trie stand, and their states: those of phrases of one word more whose two shorter phrases
-    stand there, state and bucket of each. Without a trie these are all words."""
-    if trie is None:
-        at = np.flatnonzero(c.codes >= 0)
-        state, after = np.zeros(len(at), np.int32), c.codes[at]
-    else:
-        after = np.append(c.codes, np.int32(-1))[at + trie.depth]
-        good = after >= 0
-        if only:
-            here = np.zeros(len(c.codes) + 1, bool)
-            here[at] = True
-            good &= here[at + 1]
-        at, state, after = at[good], state[good], after[good]
-    language = np.uint64(crc32(c.lang.encode()))
-    mixed = c.hashes[after].astype(np.uint64) ^ ((state.astype(np.uint64) + language) * np.uint64(0x9E3779B97F4A7C15))
-    mixed *= np.uint64(0xD6E8FEB86659FD93)
-    return at, state, (mixed >> np.uint64(65 - buckets.bit_length())).astype(np.int32)
+def pressed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
 
 
-COUNTS, BITS = 0, 1
+def unpressed(data: pa.Buffer) -> bytes:
+    return pa.decompress(data.slice(8), int.from_bytes(data.slice(0, 8).to_pybytes(), "little"), "zstd", asbytes=True)
 
 
-def counted(texts: DataFrame, shared, only: bool, buckets: int, least: int) -> DataFrame:
-    """``lang``, ``phrase``, its number ``leaf`` in the trie and ``f``, of the trie's phrases that stand ``least`` times or more;
-    and ``block`` and ``bits`` of the buckets to which as many phrases of one word more are hashed, if there are ``buckets``."""
+def pressed_numbers(numbers: np.ndarray) -> bytes:
+    """Whole numbers by bytes of like weight, as the high ones are mostly zero."""
+    return pressed(numbers.astype(np.uint64).view(np.uint8).reshape(-1, 8).T.tobytes())
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, phrases, _ = shared.value
-        leaves, hashed = np.zeros(len(phrases), np.int64), np.zeros(buckets, np.int32)
-        for c in read_chunks(batches):
-            at, state = trie.walk(c) if trie else (None, None)
-            if trie:
-                leaves += np.bincount(trie.leaf[state], minlength=len(leaves))
-            if buckets:
-                place, n = np.unique(longer(c, trie, only, buckets, at, state)[2], return_counts=True)
-                # Beyond the least count it does not matter how far.
-                hashed[place] = np.minimum(hashed[place] + n, least)
-        for kind, total in ((COUNTS, leaves), (BITS, hashed.astype(np.uint8 if least < 256 else np.int32))):
-            some = np.flatnonzero(np.add.reduceat(total != 0, np.arange(0, len(total), BLOCK))) if len(total) else []
-            for k in range(0, len(some), 32):
-                part = some[k : k + 32]
-                # Most counts of a task are small, so they pack well.
-                packed = [pa.compress(total[b * BLOCK : (b + 1) * BLOCK].tobytes(), "zstd", asbytes=True) for b in part.tolist()]
-                counts = pa.array(packed, pa.binary())
-                kinds = pa.array(np.full(len(part), kind, np.int32))
-                yield pa.RecordBatch.from_arrays([kinds, pa.array(part, pa.int64()), counts], ["kind", "block", "counts"])
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, phrases, langs = shared.value
-        total: dict[tuple[int, int], np.ndarray] = {}
-        for batch in batches:
-            for kind, block, counts in zip(batch.column("kind").to_pylist(), batch.column("block").to_pylist(), batch.column("counts")):
-                small = np.dtype(np.int64 if kind == COUNTS else np.uint8 if least < 256 else np.int32)
-                size = min(BLOCK, (len(phrases) if kind == COUNTS else buckets) - block * BLOCK) * small.itemsize
-                n = np.frombuffer(pa.decompress(counts.as_buffer(), size, "zstd", asbytes=True), small).astype(np.int64)
-                total[kind, block] = total[kind, block] + n if (kind, block) in total else n
-        for (kind, block), n in total.items():
-            some = np.flatnonzero(n >= least)
-            if not len(some):
-                continue
-            if kind == BITS:
-                row = [[None], [None], [None], [None], [block], [np.packbits(n >= least).tobytes()]]
-            else:
-                leaf = some + block * BLOCK
-                none = pa.nulls(len(leaf))
-                row = [langs.take(pa.array(leaf)), phrases.take(pa.array(leaf)), leaf, n[some], none, none]
-            yield pa.RecordBatch.from_arrays([pa.array(v).cast(f.type) for v, f in zip(row, FOUND)], schema=FOUND)
+def unpressed_numbers(data: pa.Buffer) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(unpressed(data), np.uint8).reshape(8, -1).T).view(np.uint64).reshape(-1)
 
-    rows = texts.mapInArrow(count, "kind int, block long, counts binary")
-    rows = rows.repartition(shuffle_partitions(texts.sparkSession), "kind", "block")
-    return rows.mapInArrow(add, "lang string, phrase string, leaf long, f long, block long, bits binary")
 
+def batches_of(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    held: list[tuple] = []
+    for row in rows:
+        held.append(row)
+        if len(held) == 256:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
 
-FOUND = pa.schema(
-    [("lang", pa.string()), ("phrase", pa.string()), ("leaf", pa.int64()), ("f", pa.int64()), ("block", pa.int64()), ("bits", pa.binary())]
-)
 
+def slices_of(columns: list[pa.Array], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for start in range(0, len(columns[0]), 1 << 16):
+        yield pa.RecordBatch.from_arrays([c.slice(start, 1 << 16).cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
-def proposed(texts: DataFrame, shared, known, only: bool, buckets: int) -> DataFrame:
-    """``lang`` and ``phrase`` of phrases of one word more than the trie's that may be frequent, each once."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, often, bits = shared.value[0], *known.value
-        bits = np.unpackbits(bits).view(bool)
-        depth = trie.depth if trie else 0
-        for c in read_chunks(batches):
-            at, state = trie.walk(c) if trie else (None, None)
-            if trie:
-                good = often[trie.leaf[state]]
-                at, state = at[good], state[good]
-            at, state, bucket = longer(c, trie, only, buckets, at, state)
-            good = bits[bucket]
-            at, state = at[good], state[good]
-            if not len(at):
-                continue
-            _, one = np.unique(state.astype(np.int64) * len(c.words) + c.codes[at + depth], return_index=True)
-            words = [c.words.take(pa.array(c.codes[at[one] + j])) for j in range(depth + 1)]
-            yield pa.RecordBatch.from_arrays([pa.repeat(c.lang, len(one)), pc.binary_join_element_wise(*words, " ")], ["lang", "phrase"])
-
-    return texts.mapInArrow(run, "lang string, phrase string").distinct()
+FOUND = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64())])
+DEALT_WORDS = pa.schema([("part", pa.int32()), ("lang", pa.string()), ("words", pa.binary()), ("counts", pa.binary())])
+DEALT_PAIRS = pa.schema([("part", pa.int32()), ("pairs", pa.binary()), ("counts", pa.binary())])
 
 
-def united(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionAll, parts)
+def frequent_words(texts: DataFrame, partitions: int, least: int) -> DataFrame:
+    """``lang``, ``phrase`` and ``f`` of words that stand ``least`` times or more."""
+    parts = 2 * partitions
 
+    def added_up(tables: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(tables).group_by("word").aggregate([("hash", "min"), ("f", "sum")]).rename_columns(["word", "hash", "f"])
 
-def _read_twice(
-    texts: DataFrame, trie: tuple[Trie | None, pa.Array, pa.Array], only: bool, buckets: int, least: int
-) -> tuple[DataFrame, DataFrame | None]:
-    """The frequent phrases of a trie, and the candidates of the next level whose fronts they are, None if there are none."""
-    context = texts.sparkSession.sparkContext
-    shared = context.broadcast(trie)
-    found = stored(counted(texts, shared, only, buckets, least))
-    level, more = found.where("phrase is not null").select("lang", "phrase", "f"), None
-    rows = found.where("block is not null").select("block", "bits").collect() if buckets else []
-    if rows:
-        bits = np.zeros((buckets // BLOCK, BLOCK // 8), np.uint8)
-        for r in rows:
-            bits[r["block"]] = np.frombuffer(r["bits"], np.uint8)
-        often = np.zeros(len(trie[1]), bool)
-        often[found.where("phrase is not null").select("leaf").toArrow()["leaf"].to_numpy()] = True
-        known = context.broadcast((often, bits.reshape(-1)))
-        more = stored(proposed(texts, shared, known, only, buckets))
-        known.unpersist()
-    shared.unpersist()
-    return level, more
+    def dealt(lang: str, tables: list[pa.Table]) -> Iterator[tuple]:
+        table = added_up(tables).sort_by("hash")
+        words, counts = table["word"].to_pylist(), table["f"].to_numpy()
+        part = (table["hash"].to_numpy().astype(np.uint64) * np.uint64(parts)) >> np.uint64(32)
+        bounds = np.flatnonzero(np.diff(part, prepend=parts, append=parts)).tolist()
+        for a, b in zip(bounds, bounds[1:]):
+            text = "".join([w + "\n" for w in words[a:b]]).encode()
+            yield int(part[a]), lang, pressed(text), pressed_numbers(counts[a:b])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            held: dict[str, list[pa.Table]] = {}
+            size = 0
+            for c in read_chunks(batches):
+                counts = np.bincount(c.codes[c.codes >= 0], minlength=len(c.words))
+                table = pa.table({"word": c.words, "hash": c.hashes, "f": counts})
+                held.setdefault(c.lang, []).append(table)
+                size += table.nbytes
+                if size > MOST_HELD * BYTES_A_WORD:
+                    for lang, tables in held.items():
+                        yield from dealt(lang, tables)
+                    held, size = {}, 0
+            for lang, tables in held.items():
+                yield from dealt(lang, tables)
+
+        return batches_of(rows(), DEALT_WORDS)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[pa.Table]] = {}
+        size: dict[str, int] = {}
+        for batch in batches:
+            for lang, words, counts in zip(batch.column("lang").to_pylist(), batch.column("words"), batch.column("counts")):
+                word, f = lines_of(pa.py_buffer(unpressed(words.as_buffer()))), unpressed_numbers(counts.as_buffer()).astype(np.int64)
+                some = held.setdefault(lang, [])
+                some.append(pa.table({"word": word, "hash": np.zeros(len(f), np.uint32), "f": f}))
+                size[lang] = size.get(lang, 0) + some[-1].nbytes
+                # What was added up before counts twice, so that it is not added up over and over.
+                if size[lang] > MOST_HELD * BYTES_A_WORD + 2 * some[0].nbytes:
+                    held[lang], size[lang] = [added_up(some)], 0
+        for lang, tables in held.items():
+            table = added_up(tables)
+            table = table.filter(pc.greater_equal(table["f"], least)).combine_chunks()
+            if table.num_rows:
+                words, f = table["word"].combine_chunks(), table["f"].combine_chunks()
+                yield from slices_of([pa.repeat(lang, len(words)), words, f], FOUND)
+
+    rows = texts.mapInArrow(count, "part int, lang string, words binary, counts binary").repartition(partitions, "part")
+    return rows.mapInArrow(add, "lang string, phrase string, f long")
+
+
+def pairs(c: Chunk, trie: Trie, only: bool, after: Lexicon) -> np.ndarray:
+    """A number for each phrase of one word more than the trie's that stands in a chunk and may be frequent: its front's leaf, and the place of its last word."""
+    places = trie.words.places(c)
+    at, state = trie.walk(c, places)
+    last = (places if only else after.places(c))[np.append(c.codes, np.int32(-1))[at + trie.depth]]
+    good = last >= 0
+    if only:
+        here = np.zeros(len(c.codes) + 1, bool)
+        here[at] = True
+        good &= here[at + 1]
+    return trie.leaf[state[good]].astype(np.uint64) * np.uint64(len(after.words)) + last[good].astype(np.uint64)
+
+
+def summed(numbers: list[np.ndarray], counts: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Different numbers in order, and the sum of the counts of each, which are 1 if not given."""
+    every = np.concatenate(numbers)
+    if counts is None:
+        every.sort()
+        first = np.flatnonzero(np.append(True, every[1:] != every[:-1])) if len(every) else np.zeros(0, np.int64)
+        return every[first], np.diff(first, append=len(every))
+    order = np.argsort(every)
+    every = every[order]
+    first = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
+    return every[first], np.add.reduceat(np.concatenate(counts)[order], first)
+
+
+# An odd number, so that multiplying by it puts the numbers below a power of two in another order; the product of the two is 1.
+MIX = 0x9E3779B97F4A7C15
+UNMIX = pow(MIX, -1, 1 << 64)
+
+
+def longer(texts: DataFrame, shared, only: bool, partitions: int, least: int) -> DataFrame:
+    """``lang``, ``phrase`` and ``f`` of phrases of one word more than the trie's that stand ``least`` times or more.
+
+    Numbers of pairs are mixed within the least power of two above them, so high bits deal them out, and differences in a part stay small.
+    """
+    parts = 2 * partitions
+
+    def bits(trie: Trie, phrases: pa.Array, after: Lexicon) -> int:
+        return max(1, (len(phrases) * len(after.words) - 1).bit_length())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie, phrases, _, after = shared.value
+        after = after or trie.words
+        high = bits(trie, phrases, after)
+        low = max(0, high - 20)
+
+        def dealt(held: list[np.ndarray]) -> Iterator[tuple]:
+            mixed, counts = summed(held)
+            part = ((mixed >> np.uint64(low)) * np.uint64(parts)) >> np.uint64(high - low)
+            bounds = np.flatnonzero(np.diff(part, prepend=parts, append=parts)).tolist()
+            for a, b in zip(bounds, bounds[1:]):
+                yield int(part[a]), pressed_numbers(np.diff(mixed[a:b], prepend=np.uint64(0))), pressed_numbers(counts[a:b])
+
+        def rows() -> Iterator[tuple]:
+            held, size = [], 0
+            for c in read_chunks(batches):
+                held.append((pairs(c, trie, only, after) * np.uint64(MIX)) & np.uint64((1 << high) - 1))
+                size += len(held[-1])
+                if size > MOST_HELD:
+                    yield from dealt(held)
+                    held, size = [], 0
+            if size:
+                yield from dealt(held)
+
+        return batches_of(rows(), DEALT_PAIRS)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, counts, size = [], [], 0
+        for batch in batches:
+            for some, n in zip(batch.column("pairs"), batch.column("counts")):
+                held.append(np.cumsum(unpressed_numbers(some.as_buffer()), dtype=np.uint64))
+                counts.append(unpressed_numbers(n.as_buffer()).astype(np.int64))
+                size += len(held[-1])
+                if size > MOST_HELD + 2 * len(held[0]):
+                    held, counts, size = *([x] for x in summed(held, counts)), 0
+        if not held:
+            return
+        mixed, f = summed(held, counts)
+        mixed, f = mixed[f >= least], f[f >= least]
+        if not len(f):
+            return
+        trie, phrases, langs, after = shared.value
+        after = after or trie.words
+        number = (mixed * np.uint64(UNMIX)) & np.uint64((1 << bits(trie, phrases, after)) - 1)
+        leaf, last = np.divmod(number, np.uint64(len(after.words)))
+        front = phrases.take(pa.array(leaf))
+        yield from slices_of([langs.take(pa.array(leaf)), pc.binary_join_element_wise(front, after.words.take(pa.array(last)), " "), pa.array(f)], FOUND)
+
+    rows = texts.mapInArrow(count, "part int, pairs binary, counts binary").repartition(partitions, "part")
+    return rows.mapInArrow(add, "lang string, phrase string, f long")
+
+
+def united(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionAll, parts)
 
 
 def phrase_counts(texts: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     """``lang``, ``phrase``, its number of ``words`` and ``f`` of frequent phrases, and ``lang`` and its number ``n`` of words."""
+    context = texts.sparkSession.sparkContext
     sizes = stored(texts.groupBy("lang").agg(F.sum("n").alias("n")))
     n = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, 1 << (n // WORDS_A_BUCKET).bit_length()))
-    found = [sizes.selectExpr("lang", "lang as phrase", "n as f", "1 as words").where("false")]
-    none = pa.array([], pa.string())
-    _, candidates = _read_twice(texts, (None, none, none), True, buckets, least)
-    for k in range(1, LONGEST + 1):
-        levels, more, complete = [], [], True
-        for trie, complete in [] if candidates is None else tries(candidates):
-            level, next_ones = _read_twice(texts, trie, complete, buckets if k < LONGEST else 0, least)
-            levels.append(level)
-            more += [] if next_ones is None else [next_ones]
+    partitions = max(shuffle_partitions(texts.sparkSession), -(-n // WORDS_A_PARTITION))
+    single = stored(frequent_words(texts, partitions, least))
+    found, frequent, words = [single.withColumn("words", F.lit(1))], single, None
+    for k in range(2, LONGEST + 1):
+        levels = []
+        for trie, only in tries(frequent):
+            if not only and words is None:
+                words = stored(single.select(F.col("phrase").alias("word")).distinct())
+            for after in [None] if only else (lexicon(some["word"].combine_chunks())[0] for some, _ in parts_of(words, ["word"], MOST_WORDS)):
+                shared = context.broadcast((*trie, after))
+                levels.append(stored(longer(texts, shared, only, partitions, least)))
+                shared.unpersist()
         if not levels:
             break
         frequent = united(levels)
         found.append(frequent.withColumn("words", F.lit(k)))
-        candidates = united(more) if more else None
-        if more and not complete:
-            rear = F.expr("substring(phrase, instr(phrase, ' ') + 1)")
-            known = frequent.select("lang", F.col("phrase").alias("rear"))
-            candidates = stored(candidates.withColumn("rear", rear).join(known, ["lang", "rear"], "left_semi").select("lang", "phrase"))
     return united(found), sizes
 
 

@@ -78,6 +78,38 @@ def test_phrases(spark, monkeypatch, several, least, share):
         assert sorted(tuple(r) for r in collocations.collocations(docs, least, 2, share).collect()) == sorted(r for r in expected if r[1] <= 2)
 
 
+@pytest.mark.parametrize("limits", [{"MOST_HELD": 300}, {"MOST_PHRASES": 9, "MOST_WORDS": 7}])
+def test_phrases_in_parts_and_words_of_one_hash(spark, monkeypatch, limits):
+    assert zlib.crc32(b"plumless") == zlib.crc32(b"buckeroo")
+    for name, most in limits.items():
+        monkeypatch.setattr(collocations, name, most)
+    rows = [r[:2] for r in PHRASES] + [("plumless buckeroo city buckeroo plumless city, plumless buckeroo", lang) for lang in ("en", "x", "en")]
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    found = [tuple(r) for r in collocations.collocations(docs, 2, 1000, 80).collect()]
+    assert sorted(found) == sorted(brute_phrases(rows, 2, 80)) and found
+
+
+def test_rare_pairs_of_frequent_words_cost_no_more_readings(spark, monkeypatch):
+    """The texts are read once a level, also where most pairs of frequent words are too rare to be phrases and many more than a trie holds."""
+    draw = np.random.default_rng(5)
+    texts = [" ".join(f"w{w}" for w in draw.integers(0, 1500, 3000)) for _ in range(100)]
+    writes = []
+    stored = collocations.stored
+
+    def counting(rows):
+        writes.append(rows.columns)
+        assert len(writes) <= 20
+        return stored(rows)
+
+    monkeypatch.setattr(collocations, "stored", counting)
+    monkeypatch.setattr(collocations, "MOST_PHRASES", 2000)
+    docs = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string").repartition(4)
+    found = collocations.collocations(docs, 4, 1000).collect()
+    assert len(writes) <= 8
+    pairs = Counter(p for t in texts for p in zip(t.split(), t.split()[1:]))
+    assert {r.phrase: r.a for r in found} == {" ".join(p): n for p, n in pairs.items() if n >= 4} and found
+
+
 def test_no_phrases(spark, no_docs):
     assert collocations.collocations(no_docs).collect() == []
     assert collocations.collocations(spark.createDataFrame([("a b", "en")], "text string, lang string"), 2).collect() == []
